@@ -322,7 +322,7 @@ def _fit_stats() -> str:
         f"SELECT 'target' AS kind, '{name}' AS name, {f}({Y}) AS value FROM base"
         for name, f in (("mean", "avg"), ("low", "min"), ("high", "max"))
     ]
-    return "SELECT kind, name, round(value, 4) AS value FROM (" + " UNION ALL ".join(rows) + ")"
+    return "SELECT kind, name, round(value, 7) AS value FROM (" + " UNION ALL ".join(rows) + ")"
 
 
 _scaled_target = f"({Y} - (SELECT min({Y}) FROM sales)) / (SELECT max({Y}) - min({Y}) FROM sales)"

@@ -451,7 +451,7 @@ def prepare_fit_stats(spark, folder):
     rows += [("scale_std", c, s) for c, (_, s) in got.scale.items()]
     rows += [("target", "mean", got.overall_target)]
     rows += [("target", "low", got.target_scale.low), ("target", "high", got.target_scale.high)]
-    return tidy(spark.createDataFrame(rows, "kind string, name string, value double"))
+    return tidy(spark.createDataFrame(rows, "kind string, name string, value double"), 7)
 
 
 @query

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.functions.scalars import known
 from shelfwise.operators.lookup import attach, store_lookup
 from shelfwise.operators.ranks import running_totals
 from shelfwise.session import materialize
@@ -24,7 +25,7 @@ BINS_PER_E = 64  # bins per factor of e
 
 def coarse_bin(v: Column, bins_per_e: int = BINS_PER_E) -> Column:
     """Label of the interval a value falls in. Larger values never fall in an earlier interval of the same sign."""
-    magnitude = F.floor(F.ln(F.abs(v)) * bins_per_e) + 1_000_000
+    magnitude = F.floor(F.least(F.ln(F.abs(v)), F.lit(1000.0)) * bins_per_e) + 1_000_000  # infinity is one bin
     return F.when(v == 0, F.lit(0)).otherwise(F.signum(v) * magnitude).cast("long")
 
 
@@ -42,43 +43,48 @@ def exact_quantiles(
 
     NULL values are ignored; a group of NULL values only has ``n`` = 0. Groups with a NULL key are left out.
     """
-    keys, ordered = list(keys), sorted(set(probs))
-    data = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    keys, probs = list(keys), [float(p) for p in probs]
+    data = df.select(*keys, known(F.col(value).cast("double")).alias("_v"))
     if keys:
         data = data.dropna(subset=keys)
-    groups = materialize(_locate(_binned(data, keys, bins_per_e), keys, ordered))
+    groups = materialize(_locate(_binned(data, keys, bins_per_e), keys, probs))
 
-    # Each pick is the bin of one wanted rank: (lo, hi, before, c). Bins with lo = hi are settled already.
-    picks = [f"_{side}{i}" for i in range(len(ordered)) for side in "ab"]
-    open_bins = F.array_distinct(F.filter(F.array(*picks), lambda b: b["lo"] < b["hi"]))
-    todo = groups.where("n > 0").select(*keys, "n", open_bins.alias("bins")).where(F.size("bins") > 0)
-    largest = todo.agg(F.max(F.array_max(F.transform("bins", lambda b: b["c"])))).first()[0]
+    # Every entry of ``bins`` holds wanted ranks. Bins with lo = hi are settled, the others need a second look.
+    todo = groups.select(*keys, "n", F.expr("filter(bins, b -> b.lo < b.hi)").alias("bins")).where("size(bins) > 0")
+    largest = todo.agg(F.max(F.expr("array_max(transform(bins, b -> b.c))"))).first()[0]
     if largest:
         options = {} if window_rows is None else {"window_rows": window_rows}
-        resolved = materialize(_resolve(data, keys, ordered, todo, largest, options))
+        resolved = _resolve(data, keys, probs, todo, largest, options)
         if keys:
-            groups = groups.join(resolved, keys, "left")
+            groups = groups.join(materialize(resolved), keys, "left")
         else:
-            found = resolved.first()
-            groups = groups.withColumns({c: F.lit(found[c]).cast("double") for c in resolved.columns})
+            groups = groups.withColumn("found", F.lit(materialize(resolved).scalar()))
     else:
-        groups = groups.withColumns({f"_v{p}": F.lit(None).cast("double") for p in picks})
+        groups = groups.withColumn("found", F.expr("cast(array() AS array<struct<hits:array<bigint>,v:double>>)"))
 
-    def linear(i: int) -> Column:
-        a, b = (F.coalesce(F.col(f"_v_{s}{i}"), F.col(f"_{s}{i}")["lo"]) for s in "ab")
-        return a + (b - a) * (_position(ordered[i]) - F.floor(_position(ordered[i])))
+    def at(rank: str) -> str:
+        return (
+            f"coalesce(get(filter(found, f -> array_contains(f.hits, {rank})), 0).v, "
+            f"get(filter(bins, b -> array_contains(b.hits, {rank})), 0).lo)"
+        )
 
-    q = F.when(F.col("n") > 0, F.array(*[linear(ordered.index(p)) for p in probs]))
+    position = "(p * (n - 1))"
+    low, high = at(f"floor{position}"), at(f"ceil{position}")
+    ends = f"transform({_numbers(probs)}, p -> named_struct('a', {low}, 'b', {high}, 'part', {position} - floor{position}))"
+    q = F.expr(
+        f"CASE WHEN n > 0 THEN transform({ends}, e -> CASE WHEN e.a = e.b THEN e.a ELSE e.a + (e.b - e.a) * e.part END) END"
+    )
     return groups.select(*keys, "n", "sum", "mean", "std", "std_pop", "min", "max", q.alias("q"))
 
 
-def _position(p: float) -> Column:
-    """Zero-based position of a quantile between the sorted values."""
-    return F.lit(float(p)) * (F.col("n") - 1)
+def _numbers(probs: Sequence[float]) -> str:
+    return f"array({', '.join(f'{p!r}D' for p in probs)})"
 
 
-def _rank(side: str, p: float) -> Column:
-    return F.floor(_position(p)) if side == "a" else F.ceil(_position(p))
+def _hits(probs: Sequence[float], start: str, end: str) -> Column:
+    """Wanted zero-based ranks in [start, end): the ranks on either side of every quantile position."""
+    ranks = f"flatten(transform({_numbers(probs)}, p -> array(floor(p * (n - 1)), ceil(p * (n - 1)))))"
+    return F.expr(f"array_distinct(filter({ranks}, r -> r >= {start} AND r < {end}))")
 
 
 def _binned(data: DataFrame, keys: list[str], bins_per_e: int) -> DataFrame:
@@ -94,28 +100,28 @@ def _binned(data: DataFrame, keys: list[str], bins_per_e: int) -> DataFrame:
 
 
 def _locate(bins: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
-    """Moments per group and the bin that holds each wanted rank. Windows here span bins, never rows."""
+    """Moments per group and the bins that hold wanted ranks. Windows and lists here span bins, never rows."""
     group = Window.partitionBy(*keys)
     running = group.orderBy(F.col("lo").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
-    placed = bins.withColumns(
-        {"n": F.sum("c").over(group), "total": F.sum("s").over(group), "end": F.sum("c").over(running)}
-    ).withColumn("before", F.col("end") - F.col("c"))
+    placed = (
+        bins.withColumns(
+            {"n": F.sum("c").over(group), "total": F.sum("s").over(group), "end": F.sum("c").over(running)}
+        )
+        .withColumn("before", F.col("end") - F.col("c"))
+        .withColumn("hits", _hits(probs, "before", "end"))
+    )
     mean = F.try_divide(F.col("total"), F.col("n"))
     from_mean = F.try_divide(F.col("s"), F.col("c")) - mean
-
-    def holder(rank: Column) -> Column:
-        return F.max(F.when((F.col("before") <= rank) & (rank < F.col("end")), F.struct("lo", "hi", "before", "c")))
-
     return (
         placed.groupBy(*keys)
         .agg(
-            F.max("n").alias("n"),
+            F.coalesce(F.max("n"), F.lit(0)).alias("n"),
             F.max("total").alias("sum"),
             F.max(mean).alias("mean"),
             F.min("lo").alias("min"),
             F.max("hi").alias("max"),
             F.sum(F.col("c") * (F.col("var") + from_mean * from_mean)).alias("_m2"),
-            *[holder(_rank(side, p)).alias(f"_{side}{i}") for i, p in enumerate(probs) for side in "ab"],
+            F.collect_list(F.when(F.size("hits") > 0, F.struct("hits", "lo", "hi", "before", "c"))).alias("bins"),
         )
         .withColumn("std", F.when(F.col("n") > 1, F.sqrt(F.try_divide(F.col("_m2"), F.col("n") - 1))))
         .withColumn("std_pop", F.sqrt(F.try_divide(F.col("_m2"), F.col("n"))))
@@ -129,28 +135,26 @@ def _resolve(data: DataFrame, keys: list[str], probs: list[float], todo: DataFra
         values = attach(data, store_lookup(todo.withColumn("_n", F.col("n")), keys, stored=True))
     else:
         only = todo.first()
-        bins = F.array(
-            *[F.struct(*[F.lit(b[f]).alias(f) for f in ("lo", "hi", "before", "c")]) for b in only["bins"]]
+        bins = ", ".join(
+            f"named_struct('lo', {b['lo']!r}D, 'hi', {b['hi']!r}D, 'before', {b['before']}L)" for b in only["bins"]
         )
-        values = data.withColumns({"n": F.lit(only["n"]).cast("long"), "bins": bins})
-    v = F.col("_v")
-    home = None
-    for j in range(2 * len(probs)):
-        b = F.get("bins", F.lit(j))
-        within = (v >= b["lo"]) & (v <= b["hi"])
-        home = F.when(within, b["before"]) if home is None else home.when(within, b["before"])
+        values = data.withColumns({"n": F.lit(only["n"]).cast("long"), "bins": F.expr(f"array({bins})")})
+    # Bins do not overlap, so a value has at most one home; the chain is compiled, unlike a lambda over the array.
+    homes = " ".join(
+        f"WHEN _v >= get(bins, {j}).lo AND _v <= get(bins, {j}).hi THEN get(bins, {j}).before"
+        for j in range(2 * len(set(probs)))
+    )
     counted = (
-        values.withColumn("before", home.cast("long"))
+        values.withColumn("before", F.expr(f"CASE {homes} END"))
         .where(F.col("before").isNotNull())
         .groupBy(*keys, "n", "before", "_v")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    ranked = running_totals(counted, [*keys, "n", "before"], [v.asc()], "c", largest_group=largest, **options)
-    start, end = F.col("before") + F.col("start"), F.col("before") + F.col("end")
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((start <= rank) & (rank < end), v))
-
-    return ranked.groupBy(*keys).agg(
-        *[at(_rank(side, p)).alias(f"_v_{side}{i}") for i, p in enumerate(probs) for side in "ab"]
+    ranked = running_totals(counted, [*keys, "n", "before"], [F.col("_v").asc()], "c", largest_group=largest, **options)
+    hits = _hits(probs, "before + start", "before + end")
+    return (
+        ranked.withColumn("hits", hits)
+        .where(F.size("hits") > 0)
+        .groupBy(*keys)
+        .agg(F.collect_list(F.struct("hits", F.col("_v").alias("v"))).alias("found"))
     )
