@@ -20,6 +20,7 @@ from shelfwise.operators import profile as prof
 from shelfwise.operators.preparer import TablePreparer, TablePreparerModel, mean_levels, size_cube, size_levels
 from shelfwise.plans.profiling import profile, profiled_frame, stacked
 from shelfwise.plans.sales_model import SCALED, SalesModel, SalesTrainer
+from shelfwise.session import materialize
 from shelfwise.sources.sales import SALES_KEYS, read_sales
 from shelfwise.sources.tables import clean_missing
 
@@ -435,14 +436,16 @@ def roundtrip_check(spark, folder):
     return tidy(target.roundtrip_check(df, R.target, target.learn_target_scale(df, R.target, log=True)), 6)
 
 
-def _preparer_model(spark, folder) -> TablePreparerModel:
-    return TablePreparer().fit(read_sales(spark, folder))
+def _prepared(spark, folder) -> tuple[DataFrame, TablePreparerModel]:
+    """The sales table, stored once for the many passes over it, and the preparer fitted to it."""
+    df = materialize(read_sales(spark, folder))
+    return df, TablePreparer(stageInput=False).fit(df)
 
 
 @query
 def prepare_fit_stats(spark, folder):
     """What the preparer learned, one number per row."""
-    got = _preparer_model(spark, folder).fitted
+    got = _prepared(spark, folder)[1].fitted
     rows = [("mean", c, m) for c, m in got.overall_means.items()]
     rows += [("lower_bound", c, lo) for c, (lo, _) in got.bounds.items()]
     rows += [("upper_bound", c, hi) for c, (_, hi) in got.bounds.items()]
@@ -456,8 +459,8 @@ def prepare_fit_stats(spark, folder):
 
 @query
 def prepare_transform(spark, folder):
-    model = _preparer_model(spark, folder)
-    return tidy(model.transform(read_sales(spark, folder)), 5)
+    df, model = _prepared(spark, folder)
+    return tidy(model.transform(df), 5)
 
 
 # --- evaluation -----------------------------------------------------------------------------------------------------
@@ -588,8 +591,10 @@ def train_summary(spark, folder):
 def cv_results(spark, folder):
     """Five-fold search: the whole ridge grid, and two points each for the tree members."""
     model = trained(spark, folder)
-    prepared = regress.with_fold(model.preparer.transform(read_sales(spark, folder, keys=True)), SALES_KEYS)
-    ready = regress.assemble(prepared, model.preparer.feature_names).select("features", SCALED, "fold").persist()
+    # Sixty fits read these features, so they are stored rather than prepared again each time.
+    folded = regress.with_fold(read_sales(spark, folder, keys=True), SALES_KEYS)
+    prepared = materialize(model.preparer.transform(folded))
+    ready = regress.assemble(prepared, model.preparer.feature_names).select("features", SCALED, "fold")
     grids = {
         "rf": (regress.forest(SCALED, numTrees=5), {"maxDepth": [3, 5]}),
         "gbt": (regress.boosting(SCALED, maxIter=3), {"maxDepth": [2, 4]}),
@@ -599,5 +604,4 @@ def cv_results(spark, folder):
     for name, (estimator, grid) in grids.items():
         _, scores = regress.tune(estimator, grid, ready)
         rows += [(name, ", ".join(f"{k}={v}" for k, v in p.items()), float(error)) for p, error in scores]
-    ready.unpersist()
     return spark.createDataFrame(rows, "model string, params string, cv_mse double")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,15 +40,20 @@ def store_lookup(table: DataFrame, keys: Sequence[str], *, stored: bool = False)
     """
     if "_n" not in table.columns:
         table = table.withColumn("_n", F.lit(1).cast("long"))
-    kept = table if stored else materialize(table)
-    fixed = 32 + 16 * len(kept.columns)
-    varying = F.lit(fixed).cast("long")
-    for f in kept.schema:
+    row_bytes = F.lit(32 + 16 * len(table.columns)).cast("long")
+    for f in table.schema:
         if isinstance(f.dataType, T.StringType):
-            varying = varying + F.coalesce(F.octet_length(f.name), F.lit(0))
+            row_bytes = row_bytes + F.coalesce(F.octet_length(f.name), F.lit(0))
         elif isinstance(f.dataType, T.ArrayType):
-            varying = varying + F.coalesce(F.size(f.name), F.lit(0)) * 16
-    size, total = kept.agg(F.sum(varying), F.sum("_n")).first()
+            row_bytes = row_bytes + F.greatest(F.size(f.name), F.lit(0)) * 64
+    measures = [F.sum(row_bytes).alias("size"), F.sum("_n").alias("total")]
+    if stored:
+        kept, measured = table, table.agg(*measures).first().asDict()
+    else:
+        seen = Observation()  # measured by the job that writes the table
+        kept = materialize(table.observe(seen, *measures))
+        measured = seen.get
+    size, total = measured["size"], measured["total"]
     return Lookup(tuple(keys), kept, int(size or 0), int(total or 0))
 
 

@@ -18,6 +18,7 @@ from shelfwise.operators import prepare as steps
 from shelfwise.operators.lookup import Lookup, store_lookup
 from shelfwise.operators.profile import numeric_columns
 from shelfwise.operators.target import TargetScale, learn_target_scale
+from shelfwise.session import materialize
 from shelfwise.sources.tables import clean_missing
 
 
@@ -34,6 +35,12 @@ class _PreparerParams(Params):
         TypeConverters.toString,
     )
     scaledTargetCol = Param(Params._dummy(), "scaledTargetCol", "output name of the target", TypeConverters.toString)
+    stageInput = Param(
+        Params._dummy(),
+        "stageInput",
+        "store the cleaned input once before fitting reads it several times; turn off for a plain columnar table",
+        TypeConverters.toBoolean,
+    )
 
 
 @dataclass
@@ -90,6 +97,7 @@ class TablePreparer(Estimator, _PreparerParams):
         logTarget: bool = False,
         statistics: str = "batch",
         scaledTargetCol: str = "scaled_target",
+        stageInput: bool = True,
     ):
         super().__init__()
         settings = dict(self._input_kwargs)
@@ -102,6 +110,7 @@ class TablePreparer(Estimator, _PreparerParams):
             logTarget=False,
             statistics="batch",
             scaledTargetCol="scaled_target",
+            stageInput=True,
         )
         self._set(**settings)
         if self.getOrDefault("outlierMethod") not in steps.OUTLIER_METHODS:
@@ -121,6 +130,8 @@ class TablePreparer(Estimator, _PreparerParams):
         if roles.opened_year not in dataset.columns:
             raise ValueError(f"fit needs the column {roles.opened_year!r}")
         base = steps.standardize_labels(clean_missing(dataset), roles.label_fixes)
+        if self.getOrDefault("stageInput"):
+            base = materialize(base)
         has = set(base.columns)
 
         levels = mean_levels(base, roles)
@@ -207,6 +218,7 @@ class TablePreparerModel(Model, _PreparerParams):
             logTarget=False,
             statistics="batch",
             scaledTargetCol="scaled_target",
+            stageInput=True,
         )
         self.roles, self.fitted = roles, fitted or Fitted()
 

@@ -50,15 +50,14 @@ def exact_quantiles(
     groups = materialize(_locate(_binned(data, keys, bins_per_e), keys, probs))
 
     # Every entry of ``bins`` holds wanted ranks. Bins with lo = hi are settled, the others need a second look.
-    todo = groups.select(*keys, "n", F.expr("filter(bins, b -> b.lo < b.hi)").alias("bins")).where("size(bins) > 0")
-    largest = todo.agg(F.max(F.expr("array_max(transform(bins, b -> b.c))"))).first()[0]
+    todo = groups.select(*keys, "n", F.explode("bins").alias("b")).where("b.lo < b.hi").select(
+        *keys, "n", F.col("b.bin").alias("_bin"), F.col("b.before").alias("before"), F.col("b.c").alias("_n")
+    )
+    largest = todo.agg(F.max("_n")).first()[0]
     if largest:
         options = {} if window_rows is None else {"window_rows": window_rows}
-        resolved = _resolve(data, keys, probs, todo, largest, options)
-        if keys:
-            groups = groups.join(materialize(resolved), keys, "left")
-        else:
-            groups = groups.withColumn("found", F.lit(materialize(resolved).scalar()))
+        resolved = materialize(_resolve(data, keys, probs, bins_per_e, todo, largest, options))
+        groups = groups.join(resolved, keys, "left") if keys else groups.withColumn("found", resolved.scalar())
     else:
         groups = groups.withColumn("found", F.expr("cast(array() AS array<struct<hits:array<bigint>,v:double>>)"))
 
@@ -121,7 +120,7 @@ def _locate(bins: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
             F.min("lo").alias("min"),
             F.max("hi").alias("max"),
             F.sum(F.col("c") * (F.col("var") + from_mean * from_mean)).alias("_m2"),
-            F.collect_list(F.when(F.size("hits") > 0, F.struct("hits", "lo", "hi", "before", "c"))).alias("bins"),
+            F.collect_list(F.when(F.size("hits") > 0, F.struct("hits", "lo", "hi", "before", "c", F.col("_bin").alias("bin")))).alias("bins"),
         )
         .withColumn("std", F.when(F.col("n") > 1, F.sqrt(F.try_divide(F.col("_m2"), F.col("n") - 1))))
         .withColumn("std_pop", F.sqrt(F.try_divide(F.col("_m2"), F.col("n"))))
@@ -129,23 +128,16 @@ def _locate(bins: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
     )
 
 
-def _resolve(data: DataFrame, keys: list[str], probs: list[float], todo: DataFrame, largest: int, options) -> DataFrame:
-    """Scan 2: the values at the wanted ranks that lie in bins holding more than one value."""
-    if keys:
-        values = attach(data, store_lookup(todo.withColumn("_n", F.col("n")), keys, stored=True))
-    else:
-        only = todo.first()
-        bins = ", ".join(
-            f"named_struct('lo', {b['lo']!r}D, 'hi', {b['hi']!r}D, 'before', {b['before']}L)" for b in only["bins"]
-        )
-        values = data.withColumns({"n": F.lit(only["n"]).cast("long"), "bins": F.expr(f"array({bins})")})
-    # Bins do not overlap, so a value has at most one home; the chain is compiled, unlike a lambda over the array.
-    homes = " ".join(
-        f"WHEN _v >= get(bins, {j}).lo AND _v <= get(bins, {j}).hi THEN get(bins, {j}).before"
-        for j in range(2 * len(set(probs)))
-    )
+def _resolve(
+    data: DataFrame, keys: list[str], probs: list[float], bins_per_e: int, todo: DataFrame, largest: int, options
+) -> DataFrame:
+    """Scan 2: the values at the wanted ranks that lie in bins holding more than one value.
+
+    Values find their bin by its label, one probe per row; the label also splits a large group over many join keys.
+    """
+    binned = data.withColumn("_bin", coarse_bin(F.col("_v"), bins_per_e))
     counted = (
-        values.withColumn("before", F.expr(f"CASE {homes} END"))
+        attach(binned, store_lookup(todo, [*keys, "_bin"], stored=True))
         .where(F.col("before").isNotNull())
         .groupBy(*keys, "n", "before", "_v")
         .agg(F.count(F.lit(1)).alias("c"))

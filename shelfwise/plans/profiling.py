@@ -12,6 +12,7 @@ from shelfwise.operators import categories as cat
 from shelfwise.operators import plots
 from shelfwise.operators import profile as prof
 from shelfwise.operators.prepare import standardize_labels
+from shelfwise.session import materialize
 
 
 def profiled_frame(df: DataFrame, roles: Roles = RETAIL) -> DataFrame:
@@ -19,9 +20,17 @@ def profiled_frame(df: DataFrame, roles: Roles = RETAIL) -> DataFrame:
     return standardize_labels(df, {roles.fat_content: roles.label_fixes.get(roles.fat_content, {})})
 
 
-def profile(df: DataFrame, roles: Roles = RETAIL, *, digits: int | None = None) -> dict[str, DataFrame]:
-    """All profile sections in report order. ``digits=2`` rounds the outlet and item tables for display."""
+def profile(
+    df: DataFrame, roles: Roles = RETAIL, *, digits: int | None = None, stage: bool = True
+) -> dict[str, DataFrame]:
+    """All profile sections in report order. ``digits=2`` rounds the outlet and item tables for display.
+
+    The sections scan the frame some forty times, so it is stored first; ``stage=False`` is for a frame that is a plain
+    columnar table already.
+    """
     df = profiled_frame(df, roles)
+    if stage:
+        df = materialize(df)
     target, features = roles.target, roles.category_features
     sections = {
         "dataset_shape": prof.dataset_shape(df),
