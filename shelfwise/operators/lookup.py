@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,15 +57,25 @@ def store_lookup(table: DataFrame, keys: Sequence[str], *, stored: bool = False)
     return Lookup(tuple(keys), kept, int(size or 0), int(total or 0))
 
 
-def attach(df: DataFrame, lookup: Lookup, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def attach(
+    df: DataFrame, lookup: Lookup, *, needed: Column | None = None, broadcast_bytes: int | None = None
+) -> DataFrame:
     """Left-join the values of ``lookup``; rows without a match get NULL.
 
     Small table: broadcast, no shuffle. Large table: the few hot keys are broadcast, and rows they serve are spread
-    over the shuffle instead of meeting in the partition of their key; all other rows join by key.
+    over the shuffle instead of meeting in the partition of their key; all other rows join by key. With ``needed``,
+    a large table is joined to the rows that satisfy it only: the others are read once more but not shuffled, and their
+    values are NULL.
     """
     keys, values = list(lookup.keys), lookup.values
-    if lookup.size_bytes <= broadcast_bytes:
+    limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    if lookup.size_bytes <= limit:
         return df.join(F.broadcast(lookup.table.select(*keys, *values)), keys, "left")
+    if needed is not None:
+        asked = F.coalesce(needed, F.lit(False))
+        kinds = {f.name: f.dataType for f in lookup.table.schema}
+        rest = df.where(~asked).withColumns({v: F.lit(None).cast(kinds[v]) for v in values})
+        return attach(df.where(asked), lookup, broadcast_bytes=limit).unionByName(rest)
 
     hot = lookup.table.where(F.col("_n") * HOT_SHARE >= lookup.total).select(
         *keys, *[F.col(v).alias(f"_hot{v}") for v in values], F.lit(True).alias("_is_hot")

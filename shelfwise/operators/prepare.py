@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -105,7 +106,10 @@ def fill_means(
     overall: Mapping[str, float | None],
 ) -> DataFrame:
     """Fill NULLs from the most specific level that has a mean, then from the overall mean."""
-    joined = reduce(attach, lookups, df)
+    joined = df
+    for lookup in lookups:  # a table of item means can outgrow a broadcast; only rows with a gap go to meet it
+        gaps = [F.col(c).isNull() for c, lists in levels.items() if list(lookup.keys) in [list(k) for k in lists]]
+        joined = attach(joined, lookup, needed=reduce(or_, gaps))
     filled = {
         c: F.coalesce(
             F.col(c).cast("double"), *[F.col(f"_mean_{'_'.join(keys)}_{c}") for keys in lists], F.lit(overall[c]).cast("double")
@@ -129,8 +133,10 @@ def learn_modes(cube: DataFrame, column: str, levels: Sequence[Sequence[str]]) -
     """
 
     def modes(table: DataFrame, keys: list[str], name: str) -> DataFrame:
-        per_value = table.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.sum("_n").alias("_c"))
-        best = F.min(F.struct((-F.col("_c")).alias("_rank"), F.col(column).alias("_v")))["_v"]
+        # Groups without any value stay, with a NULL mode: the lookup then knows how many rows their key holds.
+        per_value = table.groupBy(*keys, column).agg(F.sum("_n").alias("_c"))
+        ranked = F.struct((-F.col("_c")).alias("_rank"), F.col(column).alias("_v"))
+        best = F.min(F.when(F.col(column).isNotNull(), ranked))["_v"]
         return per_value.groupBy(*keys).agg(best.alias(name), F.sum("_c").alias("_n"))
 
     lookups = []

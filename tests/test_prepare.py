@@ -168,6 +168,25 @@ def test_lookup_strategies_agree(spark, broadcast_bytes):
     assert all(r["_m"] == known.get(r["k"]) for r in rows)
 
 
+def test_rows_that_need_nothing_are_not_joined(spark):
+    df = spark.range(200).select((F.col("id") % 9).cast("string").alias("k"), "id")
+    lookup = lk.store_lookup(df.groupBy("k").agg(F.max("id").alias("_m"), F.count("*").alias("_n")), ["k"])
+    got = lk.attach(df, lookup, needed=F.col("id") % 4 == 0, broadcast_bytes=0).collect()
+    assert {r["id"] for r in got} == set(range(200)) and len(got) == 200
+    assert all((r["_m"] is not None) == (r["id"] % 4 == 0) for r in got)
+
+
+def test_preparer_gives_the_same_with_shuffled_lookups(model, sales, monkeypatch):
+    """The plan for lookups too large to broadcast, through fit and transform."""
+    monkeypatch.setattr(lk, "BROADCAST_BYTES", 0)
+    other = TablePreparer().fit(sales)
+    assert {c: pytest.approx(b) for c, b in other.fitted.bounds.items()} == model.fitted.bounds
+    rounded = [F.round(F.col(f"`{c}`"), 6).alias(c) for c in model.feature_names]
+    shuffled = other.transform(sales).select(*rounded)
+    monkeypatch.undo()
+    assert shuffled.exceptAll(model.transform(sales).select(*rounded)).isEmpty()
+
+
 def test_large_lookup_is_not_broadcast(spark):
     df = spark.range(100).select((F.col("id") % 10).cast("string").alias("k"))
     lookup = lk.store_lookup(df.groupBy("k").agg(F.count("*").alias("_n"), F.lit(1.0).alias("_m")), ["k"])
