@@ -248,7 +248,7 @@ class TablePreparerModel(Model, _PreparerParams):
         x = steps.apply_target_encoding(x, got.encoding, got.overall_target, roles.outlet_encoding)
         x = steps.one_hot_encode(steps.ordinal_encode(x, roles.label_order), got.labels)
         x = steps.scale_features(x, got.scale)
-        carried = [c for c in [*roles.ids, *roles.passthrough, roles.target] if c in x.columns]
+        carried = [c for c in dict.fromkeys([*roles.ids, *roles.passthrough, roles.target]) if c in x.columns]
         if roles.target in x.columns:
             x = x.withColumn(self.getOrDefault("scaledTargetCol"), got.target_scale.forward(F.col(roles.target)))
             carried.append(self.getOrDefault("scaledTargetCol"))

@@ -95,7 +95,10 @@ def test_same_seed_same_model(sales, model):
 
 def test_tuned_leak_free_run(sales):
     grids = {"ridge": {"alpha": [0.1, 10.0]}}
-    fitted = SalesTrainer(keys=SALES_KEYS, grids=grids, members=SMALL, leak_free=True, statistics="fit").fit(sales)
+    plain = sales.drop(*SALES_KEYS)  # identifiers serve as split keys
+    trainer = SalesTrainer(keys=R.ids, grids=grids, members=SMALL, leak_free=True, statistics="fit")
+    fitted = trainer.fit(plain)
+    assert fitted.predict_real(plain).columns == [R.item, R.outlet, R.target, "prediction"]
     assert set(fitted.ensemble.best_params) == {"ridge"} and len(fitted.ensemble.cv_scores["ridge"]) == 2
     assert fitted.summary().first()["tuned"]
 
