@@ -32,14 +32,14 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local master may fall back to a temporary folder: on a cluster that folder would exist on one machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="shelfwise-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
