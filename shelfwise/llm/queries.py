@@ -6,9 +6,11 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfwise.llm import packing, token_store
-from shelfwise.llm.common import importable, table
+from shelfwise.llm import language, packing, quality, token_store, toxicity, urls, warc
+from shelfwise.llm.common import held_out, importable, table
+from shelfwise.llm.urls import ALLOW, BLOCK, Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_CATALOG: dict[str, Query] = {}
@@ -32,6 +34,64 @@ def op1_token_store(spark, folder):
     return token_store.read_back(store, token_store.locate(store, token_store.keys_of(docs)))
 
 
+URL_RULES = [
+    Rule(ALLOW, "org", "/"),
+    Rule(BLOCK, "example.org", "/es/"),
+    Rule(BLOCK, "example.org", "/en/1"),
+    Rule(ALLOW, "com", "/fr/"),
+    Rule(BLOCK, "com", "/de/"),
+]
+
+
+@query
+def op3_url_filter(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return urls.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+LLM_ORACLE["op3_url_filter"] = r"""
+WITH parts AS (
+  SELECT page_id, contains(url, '://') AS whole,
+    translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS h,
+    regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS p
+  FROM pages),
+u AS (SELECT page_id, CASE WHEN whole THEN h ELSE '' END AS host, CASE WHEN whole THEN p ELSE '' END AS path FROM parts),
+r(verdict, rule_host, rule_path) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+  ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/'))
+SELECT u.page_id, u.host, u.path, best.rule, coalesce(best.verdict, 'allow') AS verdict
+FROM u LEFT JOIN LATERAL (
+  SELECT r.rule_host || r.rule_path AS rule, r.verdict FROM r
+  WHERE (u.host = r.rule_host OR ends_with(u.host, '.' || r.rule_host)) AND starts_with(u.path, r.rule_path)
+  ORDER BY length(r.rule_host || r.rule_path) DESC, length(r.rule_host) DESC LIMIT 1) AS best ON true
+"""
+
+
+@query
+def op4_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    scored = toxicity.score_toxicity(docs.select("doc_id", "text"), toxicity.train(docs, table(spark, folder, "labels")))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
+
+
+@query
+def op6_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    judged = language.identify(docs.select("doc_id", "text"), language.train(docs))
+    return judged.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op7_best_fit_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"))
+
+
+@query
+def op8_quality_rules(spark, folder):
+    return quality.judge_quality(table(spark, folder, "documents"))
+
+
+@query
+def op9_warc(spark, folder):
+    archives, index = warc.write_warc(table(spark, folder, "pages"))
+    return warc.read_warc(archives, index).drop("url")
