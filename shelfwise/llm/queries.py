@@ -8,8 +8,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import language, packing, quality, token_store, toxicity, urls, warc
+from shelfwise.llm import bagminhash, language, mixing, packing, quality, token_store, toxicity, urls, vectors, warc
 from shelfwise.llm.common import held_out, importable, table
+from shelfwise.llm.tokens import with_token_counts
 from shelfwise.llm.urls import ALLOW, BLOCK, Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,11 @@ def op1_token_store(spark, folder):
     return token_store.read_back(store, token_store.locate(store, token_store.keys_of(docs)))
 
 
+@query
+def op2_hnsw_near_dedup(spark, folder):
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
 URL_RULES = [
     Rule(ALLOW, "org", "/"),
     Rule(BLOCK, "example.org", "/es/"),
@@ -74,6 +80,13 @@ def op4_toxicity(spark, folder):
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 
 
+@query
+def op5_bagminhash(spark, folder):
+    return bagminhash.near_duplicates(table(spark, folder, "documents")).select(
+        "doc_id", "class_id", F.col("representative").alias("kept")
+    )
+
+
 @query
 def op6_language_id(spark, folder):
     docs = table(spark, folder, "documents")
@@ -95,3 +108,9 @@ def op8_quality_rules(spark, folder):
 def op9_warc(spark, folder):
     archives, index = warc.write_warc(table(spark, folder, "pages"))
     return warc.read_warc(archives, index).drop("url")
+
+
+@query
+def op10_temperature_mixing(spark, folder):
+    docs = with_token_counts(table(spark, folder, "documents").select("doc_id", "source", "text"), "n_tokens")
+    return mixing.mix(docs.select("doc_id", "source", "n_tokens"))

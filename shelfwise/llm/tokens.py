@@ -15,6 +15,8 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Bytes of text encoded together (one longer text makes a block of its own); a task holds about ten times as much.
@@ -116,3 +118,17 @@ class Encoder:
         for i, ids in zip(direct, self.whole([texts[int(i)].as_py() for i in direct]), strict=True):
             out[i] = ids
         return out
+
+
+def with_token_counts(docs: DataFrame, name: str, tokenizer: str | None = None) -> DataFrame:
+    """``docs`` with the number of ids of each text, and one for its end, in the column ``name`` (not among its own)."""
+    path, names = tokenizer or tokenizer_path(), [*docs.columns, name]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(path)
+        for batch in batches:
+            for block in blocks(batch):
+                sizes = [len(ids) // 4 + 1 for ids in encode.encode(block.column("text"))]
+                yield pa.RecordBatch.from_arrays([*block.columns, pa.array(sizes, pa.int64())], names)
+
+    return docs.mapInArrow(count, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
