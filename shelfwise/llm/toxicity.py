@@ -187,11 +187,12 @@ class LabelModel(NamedTuple):
     rates: np.ndarray  # 2 x voters
     prior: float
     groups: np.ndarray  # group number of each voter
+    shift: float = 0.0  # added to every logit, so that beliefs are toxic as often as labels
 
     def posterior(self, fired: np.ndarray) -> np.ndarray:
         """Probability of toxicity for rows of 0/1 votes; what does not fire says nothing, a group speaks with its mean."""
         weight = np.log(self.rates[1]) - np.log(self.rates[0])
-        logit = np.full(len(fired), math.log(self.prior / (1 - self.prior)))
+        logit = np.full(len(fired), math.log(self.prior / (1 - self.prior)) + self.shift)
         for g in np.unique(self.groups):
             own = fired[:, self.groups == g]
             n = own.sum(axis=1)
@@ -205,8 +206,9 @@ def _patterns(votes: DataFrame) -> DataFrame:
 
 
 def _moments(patterns: DataFrame, voters: int, model: LabelModel | None, *, pairs: bool) -> list[np.ndarray]:
-    """Expected sums over all documents, by class: documents, voters firing and, with ``pairs``, pairs firing."""
-    width = 1 + voters + (voters * voters if pairs else 0)
+    """Expected sums over all documents, by class: documents, those by votes alone, voters firing and, with
+    ``pairs``, pairs firing."""
+    width = 2 + voters + (voters * voters if pairs else 0)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((2, width))
@@ -220,9 +222,10 @@ def _moments(patterns: DataFrame, voters: int, model: LabelModel | None, *, pair
                 sure = np.where(np.isnan(known) & (model is None), 0.0, part["n"].to_numpy(dtype=float))
                 for c, share in ((0, (1 - chance) * sure), (1, chance * sure)):
                     total[c, 0] += share.sum()
-                    total[c, 1 : 1 + voters] += share @ fired
+                    total[c, 1] += ((guess if c else 1 - guess) * sure).sum()
+                    total[c, 2 : 2 + voters] += share @ fired
                     if pairs:
-                        total[c, 1 + voters :] += (fired.T @ (fired * share[:, None])).ravel()
+                        total[c, 2 + voters :] += (fired.T @ (fired * share[:, None])).ravel()
         yield pd.DataFrame({"sums": [total.ravel().tolist()]})
 
     parts = patterns.select("fired", "toxic", "n").mapInPandas(run, "sums array<double>")
@@ -235,7 +238,7 @@ def _moments(patterns: DataFrame, voters: int, model: LabelModel | None, *, pair
 
 def _rates(sums: list[np.ndarray], voters: int) -> tuple[np.ndarray, float]:
     docs = np.array([s[0] for s in sums])
-    fires = np.stack([s[1 : 1 + voters] for s in sums])
+    fires = np.stack([s[2 : 2 + voters] for s in sums])
     rates = (fires + 0.5 * (fires.sum(axis=0) + 1) / (docs.sum() + 2)) / (docs[:, None] + 0.5)
     return np.clip(rates, 1e-6, 1 - 1e-6), float(np.clip(docs[1] / max(docs.sum(), 1), 1e-3, 0.5))
 
@@ -251,14 +254,19 @@ def fit_label_model(votes: DataFrame, voters: int, rounds: int = ROUNDS) -> Labe
         model = LabelModel(rates, 0.1, alone)
     else:
         model = LabelModel(*_rates(start, voters), alone)
+    labelled_prior = model.prior if start[1][0] else None
     for step in range(rounds):
         pairs = step == rounds // 2
         sums = _moments(patterns, voters, model, pairs=pairs)
         rates, prior = _rates(sums, voters)
-        groups = _groups(sums, voters) if pairs else model.groups
+        groups, shift = _groups(sums, voters) if pairs else model.groups, model.shift
+        if labelled_prior:
+            found = float(np.clip(sums[1][1] / (sums[0][1] + sums[1][1]), 1e-4, 1 - 1e-4))
+            shift += math.log(labelled_prior / (1 - labelled_prior)) - math.log(found / (1 - found))
+            prior = labelled_prior
         moved = max(np.abs(np.log(rates) - np.log(model.rates)).max(), abs(prior - model.prior))
-        model = LabelModel(rates, prior, groups)
-        if step > rounds // 2 and moved < 0.01:
+        model = LabelModel(rates, prior, groups, shift)
+        if step > rounds // 2 and moved < 0.02:
             break
     return model
 
@@ -268,10 +276,10 @@ def _groups(sums: list[np.ndarray], voters: int) -> np.ndarray:
     group = np.arange(voters)
     for s in sums:
         n = max(s[0], 1)
-        mean, both = s[1 : 1 + voters] / n, s[1 + voters :].reshape(voters, voters) / n
+        mean, both = s[2 : 2 + voters] / n, s[2 + voters :].reshape(voters, voters) / n
         spread = np.sqrt(np.maximum(mean * (1 - mean), 1e-12))
         together = (both - np.outer(mean, mean)) / np.outer(spread, spread)
-        often = np.minimum.outer(s[1 : 1 + voters], s[1 : 1 + voters]) >= 20
+        often = np.minimum.outer(s[2 : 2 + voters], s[2 : 2 + voters]) >= 20
         for i, j in np.argwhere(np.triu((together > CORRELATED) & often, 1)):
             group[group == group[j]] = group[i]
     return group
