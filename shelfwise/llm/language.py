@@ -140,7 +140,7 @@ def train(docs: DataFrame, most: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
     """
     rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where("lang is not null")
     rows = rows.where(~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))
-    sample = materialize(_sample_features(bounded_sample(rows, "lang", most)))
+    sample = materialize(_sample_features(bounded_sample(rows, "lang", most, text="text")))
     points = sample.select("lang", sparse(SIZE, F.col("indices"), F.col("shares")).alias("features")).persist()
     try:
         counts = {r["lang"]: r["count"] for r in points.groupBy("lang").count().collect()}

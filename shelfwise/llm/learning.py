@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 SAMPLE_SEED = 20
 
 
-def bounded_sample(rows: DataFrame, by: str, most: int, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """About ``most`` rows of each value of ``by`` (all of them where there are fewer), picked by a hash of the row.
+def bounded_sample(rows: DataFrame, by: str, most: int, *, key: str = "doc_id", text: str | None = None) -> DataFrame:
+    """About ``most`` rows of each value of ``by`` (all of them where there are fewer), picked by a hash of
+    its key (and, with ``text``, the length of that column, which tells rows without a key apart).
 
     The values of ``by`` must be few: their counts come to the driver.
     """
     counts = {r[by]: r["n"] for r in rows.groupBy(by).agg(F.count(F.lit(1)).alias("n")).collect()}
-    draw = F.pmod(F.xxhash64(F.lit(SAMPLE_SEED), F.col(key).cast("string"), F.length(text)), F.lit(1 << 30))
+    of = [F.lit(SAMPLE_SEED), F.col(key).cast("string"), *([F.length(text)] if text else [])]
+    draw = F.pmod(F.xxhash64(*of), F.lit(1 << 30))
     keep = F.lit(False)
     for value, n in counts.items():
         keep = keep | (F.col(by).eqNullSafe(F.lit(value)) & (draw < int((1 << 30) * min(1.0, most / n))))

@@ -138,12 +138,13 @@ def _candidates(texts: list[str]) -> set[str]:
     return out
 
 
-def find_voters(labelled: DataFrame, most: int = SAMPLE_PER_CLASS) -> Voters:
-    """Voters from a bounded sample of ``labelled`` (doc_id, text, toxic): the strongest words and beginnings.
+def find_voters(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_PER_CLASS) -> Voters:
+    """The strongest words and beginnings in a bounded sample of the ``labels`` (doc_id, toxic) of ``docs`` (doc_id, text).
 
     Strength is the likelihood ratio of firing in toxic and other documents; of two, one within the other, the stronger stays.
     """
-    sample = bounded_sample(labelled, "toxic", most)
+    # At most about two samples of ids are broadcast, so that no text is shuffled.
+    sample = docs.join(F.broadcast(bounded_sample(labels, "toxic", most)), "doc_id").where("text is not null")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -329,9 +330,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = CLASSIFIER_SAMPLE) ->
     Held-out documents teach nothing, neither by label nor by vote. A document labelled both ways counts as toxic.
     """
     own = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")))
-    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
+    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    voters = find_voters(own.join(known, "doc_id").where("text is not null"))
+    voters = find_voters(own, known)
     votes = materialize(cast_votes(own, voters))
     labelled = votes.join(known, "doc_id", "left")
     label_model = fit_label_model(labelled.select("fired", "toxic"), voters.number)
@@ -349,7 +350,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = CLASSIFIER_SAMPLE) ->
     believed = materialize(labelled.select("doc_id", chance.alias("chance")).where("doc_id is not null"))
     believed = believed.withColumn("side", F.col("chance") >= 0.5)
     sizes = {r["side"]: r["n"] for r in believed.groupBy("side").agg(F.count(F.lit(1)).alias("n")).collect()}
-    picked = bounded_sample(believed.withColumn("text", F.lit("")), "side", most).drop("text").dropDuplicates(["doc_id"])
+    picked = bounded_sample(believed, "side", most).dropDuplicates(["doc_id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = _memory(shared.value[0])
@@ -361,7 +362,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = CLASSIFIER_SAMPLE) ->
                 columns.append(pa.array([x[i].astype(float) for x, i in zip(found, at, strict=True)], pa.list_(pa.float64())))
                 yield pa.RecordBatch.from_arrays(columns, ["side", "chance", "indices", "shares"])
 
-    rows = own.join(picked, "doc_id").select("text", "side", "chance")
+    rows = own.join(F.broadcast(picked), "doc_id").select("text", "side", "chance")
     sample = materialize(rows.mapInArrow(run, "side boolean, chance double, indices array<int>, shares array<double>"))
     width = voters.number + 3 + BUCKETS
     if not sizes.get(True) or not sizes.get(False):  # one class only: nothing to tell apart
