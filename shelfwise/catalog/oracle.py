@@ -38,13 +38,22 @@ HELD_OUT = "(l_orderkey + l_partkey + l_suppkey + l_linenumber) % 5 = 0"
 Y = R.target
 
 
-def _fix(column: str) -> str:
-    whens = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in R.label_fixes[column].items())
-    return f"CASE {column} {whens} ELSE {column} END AS {column}"
-
-
-PROFILED = f"profiled AS (SELECT * EXCLUDE (l_orderkey, l_partkey, l_suppkey, l_linenumber) REPLACE ({_fix(R.fat_content)}) FROM sales)"
-BASE = f"base AS (SELECT * REPLACE ({', '.join(_fix(c) for c in R.label_fixes)}) FROM sales)"
+# Label fixes, written out so that a slip in the configuration shows.
+FAT_FIX = """CASE Item_Fat_Content WHEN 'LF' THEN 'Low Fat' WHEN 'low fat' THEN 'Low Fat' WHEN 'reg' THEN 'Regular'
+  ELSE Item_Fat_Content END AS Item_Fat_Content"""
+TYPE_FIX = """CASE Item_Type WHEN 'Fruits & Vegetables' THEN 'Fruits and Vegetables'
+  WHEN 'Health & Hygiene' THEN 'Health and Hygiene' ELSE Item_Type END AS Item_Type"""
+LOCATION_FIX = """CASE Outlet_Location_Type WHEN 'Tier1' THEN 'Tier 1' WHEN 'Tier2' THEN 'Tier 2' WHEN 'Tier3' THEN 'Tier 3'
+  WHEN 'tier 1' THEN 'Tier 1' WHEN 'tier 2' THEN 'Tier 2' WHEN 'tier 3' THEN 'Tier 3'
+  ELSE Outlet_Location_Type END AS Outlet_Location_Type"""
+SIZE_FIX = """CASE Outlet_Size WHEN 'high' THEN 'High' WHEN 'medium' THEN 'Medium' WHEN 'small' THEN 'Small'
+  WHEN 'SMALL' THEN 'Small' WHEN 'MEDIUM' THEN 'Medium' WHEN 'HIGH' THEN 'High' ELSE Outlet_Size END AS Outlet_Size"""
+OUTLET_FIX = """CASE Outlet_Type WHEN 'Grocery' THEN 'Grocery Store' WHEN 'Supermarket Type 1' THEN 'Supermarket Type1'
+  WHEN 'Supermarket Type 2' THEN 'Supermarket Type2' WHEN 'Supermarket Type 3' THEN 'Supermarket Type3'
+  ELSE Outlet_Type END AS Outlet_Type"""
+
+PROFILED = f"profiled AS (SELECT * EXCLUDE (l_orderkey, l_partkey, l_suppkey, l_linenumber) REPLACE ({FAT_FIX}) FROM sales)"
+BASE = f"base AS (SELECT * REPLACE ({FAT_FIX}, {TYPE_FIX}, {LOCATION_FIX}, {SIZE_FIX}, {OUTLET_FIX}) FROM sales)"
 
 ALL_COLUMNS = {
     R.item: "string", R.weight: "double", R.fat_content: "string", R.visibility: "double", R.item_type: "string",
@@ -279,8 +288,15 @@ SCALED_COLUMNS = [
 ]
 
 
+ORDINAL_CODES = {
+    "Item_Fat_Content": "WHEN 'Low Fat' THEN 0 WHEN 'Regular' THEN 1",
+    "Outlet_Location_Type": "WHEN 'Tier 3' THEN 0 WHEN 'Tier 2' THEN 1 WHEN 'Tier 1' THEN 2",
+    "Outlet_Size": "WHEN 'Small' THEN 0 WHEN 'Medium' THEN 1 WHEN 'High' THEN 2",
+}
+
+
 def _ordinal(c: str) -> str:
-    whens = " ".join(f"WHEN '{label}' THEN {i}" for i, label in enumerate(R.label_order[c]))
+    whens = ORDINAL_CODES[c]
     return f"CASE {c} {whens} END AS {c}"
 
 
@@ -487,6 +503,10 @@ FROM (SELECT g.feature, count(*) AS k, CAST(sum(g.n) AS BIGINT) AS n, sum(g.n *
             f"SELECT '{f} vs {Y}' AS pair, CAST({f} AS DOUBLE) AS x, {Y} AS y FROM profiled WHERE {f} IS NOT NULL" for f in FEATURES
         )
     ),
+    "pivot_cells": on_profiled(
+        "SELECT Item_Identifier AS row_label, Outlet_Identifier AS column_label, round(avg(Item_Outlet_Sales), 4) AS mean "
+        "FROM profiled GROUP BY 1, 2"
+    ),
     "standardize_values": on_base(f"SELECT {IDS}, {', '.join(R.label_fixes)} FROM base"),
     "ordinal_encode": on_base(f"SELECT {IDS}, {', '.join(_ordinal(c) for c in R.ordinal)} FROM base"),
     "one_hot_encode": on_base(

@@ -185,6 +185,12 @@ def pivot_itemtype_location(spark, folder):
     return _pivot(spark, folder, R.item_type, R.outlet_location)
 
 
+@query
+def pivot_cells(spark, folder):
+    """A pivot too wide for columns: items by outlets."""
+    return tidy(cat.pivot_cells(profiled(spark, folder), R.item, R.outlet, R.target))
+
+
 @query
 def anova_f(spark, folder):
     return tidy(cat.anova_f(profiled(spark, folder), R.categorical, R.target))
@@ -592,7 +598,8 @@ def cv_results(spark, folder):
     """Five-fold search: the whole ridge grid, and two points each for the tree members."""
     model = trained(spark, folder)
     # Sixty fits read these features, so they are stored rather than prepared again each time.
-    folded = regress.with_fold(read_sales(spark, folder, keys=True), SALES_KEYS)
+    training = read_sales(spark, folder, keys=True).where(f"NOT ({HELD_OUT})")
+    folded = regress.with_fold(training, SALES_KEYS)
     prepared = materialize(model.preparer.transform(folded))
     ready = regress.assemble(prepared, model.preparer.feature_names).select("features", SCALED, "fold")
     grids = {

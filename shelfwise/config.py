@@ -112,9 +112,9 @@ RETAIL = Roles(
             "tier 3": "Tier 3",
         },
         "Outlet_Size": {
-            "small": "Small",
-            "medium": "Medium",
             "high": "High",
+            "medium": "Medium",
+            "small": "Small",
             "SMALL": "Small",
             "MEDIUM": "Medium",
             "HIGH": "High",

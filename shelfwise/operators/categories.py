@@ -114,10 +114,17 @@ def price_band_stats(df: DataFrame, price: str, target: str, labels: Sequence[st
     )
 
 
+def pivot_cells(df: DataFrame, rows: str, columns: str, target: str) -> DataFrame:
+    """Mean target for each pair of labels, one row per pair: a pivot of any width."""
+    whole = df.dropna(subset=[rows, columns, target])
+    return whole.groupBy(F.col(rows).alias("row_label"), F.col(columns).alias("column_label")).agg(F.avg(target).alias("mean"))
+
+
 def pivot_mean(df: DataFrame, rows: str, columns: str, target: str, *, max_labels: int = MAX_LABELS) -> DataFrame:
     """Mean target for each pair of labels, one output column per label of ``columns``.
 
-    The data is scanned once; the labels come from the (rows x columns) aggregate, which is what gets pivoted.
+    The data is scanned once; the labels come from the (rows x columns) aggregate, which is what gets pivoted. For
+    more labels than columns can be made of, use :func:`pivot_cells`.
     """
     cells = materialize(
         df.dropna(subset=[rows, columns, target]).groupBy(rows, columns).agg(F.avg(target).alias("_mean"))

@@ -95,9 +95,7 @@ def box_stats_by_category(df: DataFrame, features: Sequence[str], target: str) -
     return box_stats(labels_long(df, features, [target]), target, ["feature", "value"])
 
 
-def qq_points(
-    df: DataFrame, column: str, *, window_rows: int | None = None, piece: int = QQ_PIECE
-) -> DataFrame:
+def qq_points(df: DataFrame, column: str, *, piece: int = QQ_PIECE) -> DataFrame:
     """Every value with its rank and the normal quantile of its plotting position.
 
     Equal values are counted before anything is sorted, the counts are numbered range by range, and a value that
@@ -107,18 +105,14 @@ def qq_points(
         F.count(F.lit(1)).alias("c")
     )
     counts = materialize(counts)
-    distinct, n, most = counts.agg(F.count(F.lit(1)), F.sum("c"), F.max("c")).first()
-    n = int(n or 0)
-    options = {} if window_rows is None else {"window_rows": window_rows}
-    ranked = running_totals(counts, [], [F.col("value").asc()], "c", largest_group=distinct, **options)
+    n = int(counts.agg(F.sum("c")).first()[0] or 0)
+    ranked = running_totals(counts, [], [F.col("value").asc()], "c")
 
     pieces = ranked.select(
         "value",
         F.explode(F.sequence(F.col("start"), F.col("end") - 1, F.lit(piece).cast("long"))).alias("_from"),
         "end",
-    )
-    if (most or 0) > piece:
-        pieces = pieces.repartition("_from")
+    ).repartition("_from")
     last = F.least(F.col("_from") + piece, F.col("end"))
     points = pieces.select("value", F.explode(F.sequence(F.col("_from") + 1, last)).alias("rank"))
 

@@ -18,6 +18,7 @@ from shelfwise.functions.scalars import band, clip, code_of, ratio, standard_sco
 from shelfwise.operators.categories import MAX_LABELS, labels_long
 from shelfwise.operators.lookup import Lookup, attach, store_lookup
 from shelfwise.operators.quantiles import exact_quantiles
+from shelfwise.operators.ranks import running_totals
 from shelfwise.session import materialize
 
 NO_LABEL = "nan"  # text that stands for a missing label in one-hot blocks
@@ -62,6 +63,29 @@ def one_hot_encode(df: DataFrame, labels: Mapping[str, Sequence[str]]) -> DataFr
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in labels], *blocks)
 
 
+def label_positions(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature, label, position): positions of a one-hot vector over all labels of ``features``, sorted by feature and
+    label; NULL counts as the text ``nan``. Any number of labels, numbered range by range."""
+    filled = df.select(*[F.coalesce(F.col(f).cast("string"), F.lit(NO_LABEL)).alias(f) for f in features])
+    distinct = labels_long(filled, features).distinct().withColumn("_one", F.lit(1).cast("long"))
+    ranked = running_totals(distinct, [], [F.col("feature").asc(), F.col("value").asc()], "_one")
+    return materialize(ranked.select("feature", F.col("value").alias("label"), F.col("start").alias("position")))
+
+
+def one_hot_sparse(df: DataFrame, features: Sequence[str], positions: DataFrame, output: str = "one_hot") -> DataFrame:
+    """Add the one-hot block of ``features`` as the sorted positions that hold a 1; unseen labels have none.
+
+    The long form of :func:`one_hot_encode`, without a limit on the labels: each feature finds its position by a lookup.
+    """
+    joined, found = df, []
+    for i, feature in enumerate(features):
+        own = positions.where(F.col("feature") == feature).select(F.col("label").alias(f"_label{i}"), F.col("position").alias(f"_at{i}"))
+        label = F.coalesce(F.col(feature).cast("string"), F.lit(NO_LABEL))
+        joined = attach(joined.withColumn(f"_label{i}", label), store_lookup(own, [f"_label{i}"], stored=True))
+        found.append(F.col(f"_at{i}"))
+    return joined.withColumn(output, F.sort_array(F.array_compact(F.array(*found)))).select(*df.columns, output)
+
+
 # --- imputation -----------------------------------------------------------------------------------------------------
 
 

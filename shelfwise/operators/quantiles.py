@@ -36,7 +36,6 @@ def exact_quantiles(
     probs: Sequence[float],
     *,
     bins_per_e: int = BINS_PER_E,
-    window_rows: int | None = None,
 ) -> DataFrame:
     """One stored row per group: ``keys``, ``n``, ``sum``, ``mean``, ``std`` (sample), ``std_pop``, ``min``, ``max``, and
     ``q``: linear quantiles in the order of ``probs``.
@@ -53,10 +52,8 @@ def exact_quantiles(
     todo = groups.select(*keys, "n", F.explode("bins").alias("b")).where("b.lo < b.hi").select(
         *keys, "n", F.col("b.bin").alias("_bin"), F.col("b.before").alias("before"), F.col("b.c").alias("_n")
     )
-    largest = todo.agg(F.max("_n")).first()[0]
-    if largest:
-        options = {} if window_rows is None else {"window_rows": window_rows}
-        resolved = materialize(_resolve(data, keys, probs, bins_per_e, todo, largest, options))
+    if not todo.isEmpty():
+        resolved = materialize(_resolve(data, keys, probs, bins_per_e, todo))
         groups = groups.join(resolved, keys, "left") if keys else groups.withColumn("found", resolved.scalar())
     else:
         groups = groups.withColumn("found", F.expr("cast(array() AS array<struct<hits:array<bigint>,v:double>>)"))
@@ -129,7 +126,7 @@ def _locate(bins: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
 
 
 def _resolve(
-    data: DataFrame, keys: list[str], probs: list[float], bins_per_e: int, todo: DataFrame, largest: int, options
+    data: DataFrame, keys: list[str], probs: list[float], bins_per_e: int, todo: DataFrame
 ) -> DataFrame:
     """Scan 2: the values at the wanted ranks that lie in bins holding more than one value.
 
@@ -142,7 +139,7 @@ def _resolve(
         .groupBy(*keys, "n", "before", "_v")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    ranked = running_totals(counted, [*keys, "n", "before"], [F.col("_v").asc()], "c", largest_group=largest, **options)
+    ranked = running_totals(counted, [*keys, "n", "before"], [F.col("_v").asc()], "c")
     hits = _hits(probs, "before + start", "before + end")
     return (
         ranked.withColumn("hits", hits)

@@ -14,28 +14,15 @@ from pyspark.sql import functions as F
 
 from shelfwise.session import materialize
 
-# A group with at most this many rows is numbered by one plain window; above it the range plan takes over.
-WINDOW_ROWS = 1_000_000
-
 
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
     amount: str,
-    *,
-    largest_group: int | None,
-    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
-    """Add ``start`` and ``end``: the total of ``amount`` before and up to each row, within ``keys``.
-
-    ``largest_group`` is a proven bound on the rows of one group (``None`` when there is none).
-    """
+    """Add ``start`` and ``end``: the total of ``amount`` before and up to each row, within ``keys``."""
     keys = list(keys)
-    if largest_group is not None and largest_group <= window_rows:
-        span = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn("end", F.sum(amount).over(span)).withColumn("start", F.col("end") - F.col(amount))
-
     # The range number must be a stored fact: were the ranges drawn again, a row could change its range.
     ranges = materialize(
         df.repartitionByRange(*[F.col(k) for k in keys], *order).withColumn("_range", F.spark_partition_id())

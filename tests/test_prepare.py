@@ -149,6 +149,18 @@ def test_published_round_trip(spark):
     assert row["n"] == 8523 and row["all_close"] and row["max_rel_diff"] < 1e-10
 
 
+def test_sparse_one_hot_equals_the_wide_one(spark):
+    rows = [(i, f"a{i % 1200}", None if i % 5 == 0 else f"b{i % 3}") for i in range(1300)]
+    df = spark.createDataFrame(rows, "id int, a string, b string")
+    positions = prep.label_positions(df, ["a", "b"])
+    place = {(r["feature"], r["label"]): r["position"] for r in positions.collect()}
+    assert sorted(place, key=place.get) == sorted(place) and sorted(place.values()) == list(range(1204))
+    new = df.union(spark.createDataFrame([(9999, "unseen", "b1")], df.schema))
+    got = {r["id"]: r["one_hot"] for r in prep.one_hot_sparse(new, ["a", "b"], positions).collect()}
+    assert got[9999] == [place["b", "b1"]] and len(got) == 1301
+    assert all(got[i] == sorted([place["a", a], place["b", b or "nan"]]) for i, a, b in rows)
+
+
 # --- lookups under skew ---------------------------------------------------------------------------------------------
 
 

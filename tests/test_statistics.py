@@ -32,13 +32,12 @@ def skewed(rows: int = 4000) -> pd.DataFrame:
     return frame
 
 
-@pytest.mark.parametrize("window_rows", [None, 0])
 @pytest.mark.parametrize("bins_per_e", [64, 1])
-def test_grouped_quantiles_match_pandas(spark, window_rows, bins_per_e):
-    """Both ranking plans, and bins so coarse that nearly everything must be resolved exactly."""
+def test_grouped_quantiles_match_pandas(spark, bins_per_e):
+    """Also with bins so coarse that nearly everything must be resolved exactly."""
     frame = skewed()
     got = exact_quantiles(
-        spark.createDataFrame(frame).repartition(7), ["k"], "v", PROBS, window_rows=window_rows, bins_per_e=bins_per_e
+        spark.createDataFrame(frame).repartition(7), ["k"], "v", PROBS, bins_per_e=bins_per_e
     ).toPandas().set_index("k")
     groups = frame.groupby("k")["v"]
     assert set(got.index) == set(groups.groups)
@@ -75,10 +74,10 @@ def test_all_missing_group_is_kept(spark):
     assert rows["b"]["q"] == [2.0] and rows["b"]["std"] is None
 
 
-@pytest.mark.parametrize("window_rows,piece", [(None, 1_000_000), (0, 7)])
-def test_qq_points_are_complete_and_in_order(spark, window_rows, piece):
+@pytest.mark.parametrize("piece", [1_000_000, 7])
+def test_qq_points_are_complete_and_in_order(spark, piece):
     frame = skewed(900).dropna()
-    points = plots.qq_points(spark.createDataFrame(frame), "v", window_rows=window_rows, piece=piece)
+    points = plots.qq_points(spark.createDataFrame(frame), "v", piece=piece)
     got = points.orderBy("rank").toPandas()
     n = len(frame)
     assert list(got["rank"]) == list(range(1, n + 1))
@@ -118,6 +117,30 @@ def test_published_p_values(spark):
     assert p[2] == 1.0
 
 
+def chi_square_tail(u, half):
+    """Upper tail of the chi-square distribution with an even number of degrees of freedom, 2 x ``half``."""
+    return math.exp(-u / 2) * sum((u / 2) ** k / math.factorial(k) for k in range(half))
+
+
+def test_p_values_of_many_rows_reach_the_chi_square_limit(spark):
+    cases = [(d1, f, rows) for d1 in (2, 6, 20) for f in (0.5, 1.0, 2.1, 3.0, 12.0) for rows in (1e9, 1e10, 1e11, 1e12, 1e13, 1e14)]
+    df = spark.createDataFrame([(f, float(d1), n) for d1, f, n in cases], "f double, a double, b double")
+    p = [r[0] for r in df.select(f_upper_tail(F.col("f"), F.col("a"), F.col("b"))).collect()]
+    for (d1, f, rows), got in zip(cases, p, strict=True):
+        limit = chi_square_tail(d1 * f, d1 // 2)
+        # The limit itself is off by about (d1 F)^2 / (4 rows).
+        assert got == pytest.approx(limit, rel=1e-9 + (d1 * f + 2) ** 2 / rows), (d1, f, rows)
+
+
+def test_p_values_agree_where_the_ways_meet(spark):
+    """Closed form for two degrees of freedom: (1 + 2 F / d2) ** (-d2 / 2)."""
+    cases = [(f, 2.0, d2) for f in (0.01, 0.9, 3.0, 40.0) for d2 in (10.0, 1e3, 2e5, 5.6e5, 5.8e5, 1e7, 1e9)]
+    df = spark.createDataFrame(cases, "f double, a double, b double")
+    p = [r[0] for r in df.select(f_upper_tail(F.col("f"), F.col("a"), F.col("b"))).collect()]
+    for (f, _, d2), got in zip(cases, p, strict=True):
+        assert got == pytest.approx(math.exp(-d2 / 2 * math.log1p(2 * f / d2)), rel=1e-10), (f, d2)
+
+
 def test_published_fences():
     q1, q3 = 834.2474, 3101.2964
     low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
@@ -182,6 +205,12 @@ def test_equal_width_bands(spark):
     assert [r["n"] for r in cat.price_band_stats(constant, "p", "y", labels).collect()] == [0, 0, 1, 0, 0]
 
 
+def test_long_pivot_has_no_limit(spark):
+    df = spark.createDataFrame([("r", str(i), float(i)) for i in range(1500)] + [("r", "7", 9.0), (None, "7", 1.0)], "r string, c string, y double")
+    got = {(r["row_label"], r["column_label"]): r["mean"] for r in cat.pivot_cells(df, "r", "c", "y").collect()}
+    assert len(got) == 1500 and got["r", "7"] == 8.0 and got["r", "9"] == 9.0
+
+
 def test_pivot_refuses_too_many_labels(spark):
     df = spark.createDataFrame([("r", str(i), 1.0) for i in range(5)], "r string, c string, y double")
     with pytest.raises(ValueError, match="more than 3"):
