@@ -339,7 +339,7 @@ def _bounds_frame(spark, bounds):
 
 
 def _iqr_bounds(df):
-    quartiles = prep.column_quantiles(df, R.numeric_features, [0.25, 0.75])
+    quartiles, _ = prep.column_quantiles(df, R.numeric_features, [0.25, 0.75])
     return prep.iqr_bounds({c: (q[0], q[1]) for c, q in quartiles.items()}, 1.5)
 
 
@@ -362,7 +362,7 @@ def cap_outliers(spark, folder):
 
 
 def _price_edges(df):
-    return prep.price_edges(prep.column_quantiles(df, [R.price], [0.2, 0.4, 0.6, 0.8])[R.price])
+    return prep.price_edges(prep.column_quantiles(df, [R.price], [0.2, 0.4, 0.6, 0.8])[0][R.price])
 
 
 @query
@@ -465,8 +465,8 @@ def prepare_fit_stats(spark, folder):
 
 @query
 def prepare_transform(spark, folder):
-    df, model = _prepared(spark, folder)
-    return tidy(model.transform(df), 5)
+    df = materialize(read_sales(spark, folder))
+    return tidy(TablePreparer(stageInput=False).fit_transform(df)[1], 5)
 
 
 # --- evaluation -----------------------------------------------------------------------------------------------------

@@ -21,7 +21,7 @@ HOT_SHARE = 1000
 
 @dataclass(frozen=True)
 class Lookup:
-    """A stored table with one row per key, its measured size, and the rows each key stands for (``_n``)."""
+    """A stored table with one row per key, its measured size, and the number of rows its keys stand for (``_n``)."""
 
     keys: tuple[str, ...]
     table: DataFrame
@@ -62,35 +62,29 @@ def attach(
 ) -> DataFrame:
     """Left-join the values of ``lookup``; rows without a match get NULL.
 
-    Small table: broadcast, no shuffle. Large table: the few hot keys are broadcast, and rows they serve are spread
-    over the shuffle instead of meeting in the partition of their key; all other rows join by key. With ``needed``,
-    a large table is joined to the rows that satisfy it only: the others are read once more but not shuffled, and their
-    values are NULL.
+    Small table: broadcast, no shuffle. Large table: the keys that are hot in ``df`` are counted, the few there can be are
+    broadcast with what the lookup has for them, and their rows are spread over the shuffle instead of meeting in the
+    partition of their key; all other rows join by key. With ``needed``, rows that do not satisfy it are spread as well,
+    and the values of all such rows are NULL if the table is large.
     """
     keys, values = list(lookup.keys), lookup.values
     limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     if lookup.size_bytes <= limit:
         return df.join(F.broadcast(lookup.table.select(*keys, *values)), keys, "left")
-    if needed is not None:
-        asked = F.coalesce(needed, F.lit(False))
-        kinds = {f.name: f.dataType for f in lookup.table.schema}
-        rest = df.where(~asked).withColumns({v: F.lit(None).cast(kinds[v]) for v in values})
-        return attach(df.where(asked), lookup, broadcast_bytes=limit).unionByName(rest)
-
-    hot = lookup.table.where(F.col("_n") * HOT_SHARE >= lookup.total).select(
-        *keys, *[F.col(v).alias(f"_hot{v}") for v in values], F.lit(True).alias("_is_hot")
-    )
-    # Rows of hot keys and rows without a key need nothing from the shuffle, so they get a salt of their own. The salt
-    # is a task number: it does not depend on row contents (copies of a row spread too) and a re-run of the same task
-    # repeats it.
+    asked = F.lit(True) if needed is None else F.coalesce(needed, F.lit(False))
     unkeyed = reduce(or_, [F.col(k).isNull() for k in keys])
-    marked = df.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.when(F.col("_is_hot") | unkeyed, 1 + F.spark_partition_id()).otherwise(0)
+    counts = materialize(df.where(asked & ~unkeyed).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")))
+    total = counts.agg(F.sum("_rows")).first()[0] or 0
+    hot = counts.where(F.col("_rows") * HOT_SHARE >= total).join(lookup.table, keys, "left").select(
+        *keys, *[F.col(v).alias(f"_hot{v}") for v in values], F.lit(True).alias("_is_hot")
     )
-    cold = lookup.table.where(F.col("_n") * HOT_SHARE < lookup.total).select(
-        *keys, *values, F.lit(0).alias("_salt")
+    # Rows that need nothing from the shuffle get a salt of their own. It is a task number: it does not depend on row
+    # contents (copies of a row spread too) and a re-run of the same task repeats it.
+    marked = df.withColumn("_asked", asked).join(F.broadcast(hot), keys, "left").withColumn(
+        "_salt", F.when(F.col("_is_hot") | unkeyed | ~F.col("_asked"), 1 + F.spark_partition_id()).otherwise(0)
     )
+    cold = lookup.table.select(*keys, *values, F.lit(0).alias("_salt"))
     joined = marked.join(cold.hint("merge"), [*keys, "_salt"], "left")
     return joined.select(
-        *df.columns, *[F.coalesce(F.col(f"_hot{v}"), F.col(v)).alias(v) for v in values]
+        *df.columns, *[F.when(F.col("_asked"), F.coalesce(F.col(f"_hot{v}"), F.col(v))).alias(v) for v in values]
     )

@@ -1,4 +1,4 @@
-"""Preparation steps as lazy DataFrame functions, each usable on its own.
+"""Preparation steps as DataFrame functions, each usable on its own. What learns runs jobs, what applies is lazy.
 
 Statistics are learned from compact aggregates: one table of sums per (item, type) serves every mean-based lookup,
 and one table of counts per (outlet, outlet type, location, size) serves the size modes and the outlet encoding.
@@ -213,11 +213,15 @@ def zscore_bounds(df: DataFrame, columns: Sequence[str], threshold: float) -> di
     }
 
 
-def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
-    """Exact quantiles of several columns in one pass over the unpivoted values."""
+def column_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float]
+) -> tuple[dict[str, list[float]], dict[str, tuple[float, float]]]:
+    """Exact quantiles of several columns, and their means and population standard deviations, in one pass over the
+    unpivoted values. Columns without a value are left out."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column", "_x")
     rows = exact_quantiles(long, ["column"], "_x", probs).collect()  # one row per column
-    return {r["column"]: r["q"] for r in rows if r["q"] is not None}
+    some = [r for r in rows if r["q"] is not None]
+    return {r["column"]: r["q"] for r in some}, {r["column"]: (r["mean"], r["std_pop"]) for r in some}
 
 
 def iqr_bounds(quartiles: Mapping[str, tuple[float, float]], threshold: float) -> dict[str, tuple[float, float]]:

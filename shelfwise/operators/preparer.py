@@ -124,6 +124,18 @@ class TablePreparer(Estimator, _PreparerParams):
         return that
 
     def _fit(self, dataset: DataFrame) -> "TablePreparerModel":
+        return self._learn(dataset)[0]
+
+    def fit_transform(self, dataset: DataFrame) -> "tuple[TablePreparerModel, DataFrame]":
+        """The fitted model, and ``dataset`` as it transforms it: statistics and the filled frame are not worked out twice.
+
+        On the frame of the fit both settings of ``statistics`` agree.
+        """
+        model, filled = self._learn(dataset)
+        return model, model._finish(filled)
+
+    def _learn(self, dataset: DataFrame) -> "tuple[TablePreparerModel, DataFrame]":
+        """The fitted model and the stored frame with labels standardised and gaps filled."""
         roles, got = self.roles, Fitted()
         if roles.target not in dataset.columns:
             raise ValueError(f"fit needs the target column {roles.target!r}")
@@ -145,9 +157,9 @@ class TablePreparer(Estimator, _PreparerParams):
         got.encoding, got.overall_target = steps.learn_target_encoding(cube, roles.outlet, roles.smoothing)
         if roles.visibility in has:
             got.visibility = steps.learn_positive_medians(base, roles.visibility, roles.item_type)
-        filled = _impute(base, roles, got)
+        filled = materialize(_impute(base, roles, got))  # lookups are joined once, for the passes below and transform
 
-        self._learn_bounds(filled, got)
+        moments = self._learn_bounds(filled, got)
         featured = steps.apply_target_encoding(
             steps.add_features(filled, roles, got.edges), got.encoding, got.overall_target, roles.outlet_encoding
         )
@@ -160,7 +172,10 @@ class TablePreparer(Estimator, _PreparerParams):
         got.features = plain + [f"{c}_{label}" for c in nominal for label in got.labels[c]]
         if self.getOrDefault("scaleFeatures"):
             skip = {*left_out, *roles.ordinal, *nominal}
-            got.scale = steps.learn_scale(featured, numeric_columns(featured, exclude=list(skip)))
+            scaled = numeric_columns(featured, exclude=list(skip))
+            got.scale = {c: moments[c] for c in scaled if c in moments}
+            derived = [c for c in scaled if c not in moments]
+            got.scale |= steps.learn_scale(featured, derived) if derived else {}
             for c, labels in counted.items():  # a 0/1 column with share p has mean p and variance p(1-p)
                 total = sum(labels.values())
                 got.scale |= {
@@ -168,25 +183,28 @@ class TablePreparer(Estimator, _PreparerParams):
                 }
         if self.getOrDefault("scaleTarget"):
             got.target_scale = learn_target_scale(base, roles.target, log=self.getOrDefault("logTarget"))
-        return self._copyValues(TablePreparerModel(roles, got))
+        return self._copyValues(TablePreparerModel(roles, got)), filled
 
-    def _learn_bounds(self, filled: DataFrame, got: Fitted) -> None:
-        """Outlier bounds of all numeric columns and the price band edges, sharing one quantile pass."""
+    def _learn_bounds(self, filled: DataFrame, got: Fitted) -> dict[str, tuple[float, float]]:
+        """Outlier bounds of all numeric columns and the price band edges, sharing one quantile pass.
+
+        Gives the mean and population standard deviation of the columns that went through it.
+        """
         roles, threshold = self.roles, self.getOrDefault("outlierThreshold")
         columns = numeric_columns(filled, exclude=[roles.target, *roles.passthrough])
         fifths = [0.2, 0.4, 0.6, 0.8]
         if self.getOrDefault("outlierMethod") == "iqr":
-            found = steps.column_quantiles(filled, columns, [0.25, 0.75, *fifths])
+            found, moments = steps.column_quantiles(filled, columns, [0.25, 0.75, *fifths])
             got.bounds = steps.iqr_bounds({c: (q[0], q[1]) for c, q in found.items()}, threshold)
             fifths_found = found.get(roles.price, [])[2:]
         else:
             got.bounds = steps.zscore_bounds(filled, columns, threshold)
-            fifths_found = (
-                steps.column_quantiles(filled, [roles.price], fifths).get(roles.price, [])
-                if roles.price in columns
-                else []
+            found, moments = (
+                steps.column_quantiles(filled, [roles.price], fifths) if roles.price in columns else ({}, {})
             )
+            fifths_found = found.get(roles.price, [])
         got.edges = steps.price_edges(fifths_found) if fifths_found else None
+        return moments
 
 
 def _impute(df: DataFrame, roles: Roles, got: Fitted) -> DataFrame:
@@ -243,7 +261,12 @@ class TablePreparerModel(Model, _PreparerParams):
         roles, got = self.roles, self.fitted
         base = steps.standardize_labels(clean_missing(dataset), roles.label_fixes)
         in_use = got if self.getOrDefault("statistics") == "fit" else self._batch_statistics(base)
-        x = steps.cap_outliers(_impute(base, roles, in_use), got.bounds)
+        return self._finish(_impute(base, roles, in_use))
+
+    def _finish(self, filled: DataFrame) -> DataFrame:
+        """Everything after imputation."""
+        roles, got = self.roles, self.fitted
+        x = steps.cap_outliers(filled, got.bounds)
         x = steps.add_features(x, roles, got.edges)
         x = steps.apply_target_encoding(x, got.encoding, got.overall_target, roles.outlet_encoding)
         x = steps.one_hot_encode(steps.ordinal_encode(x, roles.label_order), got.labels)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,26 @@ def shared_folder(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end whatever :func:`materialize` wrote inside.
+
+    Results that are still to be read must be written, or collected, before the scope ends.
+    """
+    written: list[str] = []
+    _scopes.append(written)
+    try:
+        yield
+    finally:
+        _scopes.remove(written)
+        for path in written:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -51,5 +73,7 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/shelfwise/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    for written in _scopes:
+        written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -14,6 +14,7 @@ from shelfwise.operators import prepare as prep
 from shelfwise.operators.preparer import TablePreparer, TablePreparerModel, preparer
 from shelfwise.operators.regress import assemble, check_complete
 from shelfwise.operators.target import TargetScale, learn_target_scale, roundtrip_check
+from shelfwise.session import scratch_scope
 from shelfwise.sources.sales import SALES_KEYS, read_sales
 from shelfwise.sources.tables import clean_missing
 
@@ -180,6 +181,30 @@ def test_lookup_strategies_agree(spark, broadcast_bytes):
     assert all(r["_m"] == known.get(r["k"]) for r in rows)
 
 
+def test_hot_key_that_the_lookup_does_not_know(spark):
+    """A key that is rare, or unknown, where the lookup was learned, and holds most rows of the frame."""
+    lookup = lk.store_lookup(spark.createDataFrame([("rare", 1, 1), ("common", 2, 5000)], "k string, _m int, _n long"), ["k"])
+    rows = [("unknown",)] * 900 + [("rare",)] * 600 + [("common",)] * 2 + [(None,)] * 50
+    got = lk.attach(spark.createDataFrame(rows, "k string").repartition(4), lookup, broadcast_bytes=0)
+    counts = {(r["k"], r["_m"]): r["count"] for r in got.groupBy("k", "_m").count().collect()}
+    assert counts == {("unknown", None): 900, ("rare", 1): 600, ("common", 2): 2, (None, None): 50}
+
+
+def test_scratch_scope_leaves_nothing(spark, sales, tmp_path, monkeypatch):
+    monkeypatch.setattr("shelfwise.session.shared_folder", lambda spark: str(tmp_path))
+    with scratch_scope(spark):
+        prepared = TablePreparer().fit_transform(sales)[1]
+        assert prepared.count() == sales.count() and any(tmp_path.rglob("*.parquet"))
+    assert not list(tmp_path.rglob("*.parquet"))
+
+
+def test_fit_transform_equals_fit_then_transform(model, sales):
+    other, frame = TablePreparer().fit_transform(sales)
+    rounded = [F.round(F.col(f"`{c}`"), 6).alias(c) for c in model.feature_names]
+    assert other.feature_names == model.feature_names
+    assert frame.select(*rounded).exceptAll(model.transform(sales).select(*rounded)).isEmpty()
+
+
 def test_rows_that_need_nothing_are_not_joined(spark):
     df = spark.range(200).select((F.col("id") % 9).cast("string").alias("k"), "id")
     lookup = lk.store_lookup(df.groupBy("k").agg(F.max("id").alias("_m"), F.count("*").alias("_n")), ["k"])
