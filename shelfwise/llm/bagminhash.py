@@ -8,9 +8,9 @@ documents lies in both: the weighted Jaccard similarity. Points come in order of
 time has passed the slowest register.
 
 Texts that are equal are one node. Candidates are nodes that agree in all registers of a band. Only links between
-different components matter, so they are checked in three rounds: each node with the best of the smallest nodes of its
-bands; then in each band each node with the best partner of every other component; then all pairs left in the bands that
-lie in different components and whose signatures do not rule out the similarity. Large bands are dealt out in blocks.
+different components matter, so they are checked in two rounds: each node with the best of the smallest nodes of its
+bands; then, inside each band that still holds several components, all pairs in different ones whose signatures do not rule
+out the similarity. Large bands are dealt out in blocks, and only links that join components are written.
 """
 
 from __future__ import annotations
@@ -33,8 +33,8 @@ SIMILARITY = 0.8
 REGISTERS, ROWS = 96, 4
 #: Signatures that agree in a smaller share of registers rule a pair out: five standard deviations below the similarity.
 LEAST_AGREEMENT = 0.6
-#: Nodes of one band that a task compares at once with as many others.
-BLOCK = 2000
+#: Nodes of one band, and bytes of their texts, that a task compares at once with as many others.
+BLOCK, BLOCK_BYTES = 2000, 16 << 20
 #: Words remembered by one Python worker.
 REMEMBERED = 300_000
 
@@ -183,45 +183,77 @@ def _first_pairs(buckets: DataFrame, marks: DataFrame) -> DataFrame:
     return judged.groupBy("a").agg(F.max_by("b", F.struct("alike", -F.col("b"))).alias("b"))
 
 
-def _further_pairs(buckets: DataFrame, marks: DataFrame, classes: DataFrame, *, best: bool) -> DataFrame:
-    """Pairs within bands that lie in different components: each node's best in each other one, or all of them."""
+def _overlap(own: tuple[np.ndarray, np.ndarray], others: list[tuple[np.ndarray, np.ndarray]], room: np.ndarray) -> np.ndarray:
+    """Overlap of a multiset with others; elements are numbers below ``len(room)``, and ``room`` is zeros, before and after."""
+    room[own[0]] = own[1]
+    ends = np.cumsum([len(o[0]) for o in others])
+    shared = np.minimum(room[np.concatenate([o[0] for o in others])], np.concatenate([o[1] for o in others]))
+    room[own[0]] = 0
+    return np.add.reduceat(shared, np.concatenate([[0], ends[:-1]]))
+
+
+def _links_within(group: pa.Table, least: float) -> list[tuple[int, int]]:
+    """Links that join different components among the nodes of a band, or between two blocks of them.
+
+    Pairs are looked at once only: in the first band they share, and while they are not joined yet.
+    """
+    nid, component, block = (group.column(c).to_numpy() for c in ("nid", "component", "block"))
+    band, low = group.column("band")[0].as_py(), group.column("low")[0].as_py()
+    marks = np.stack([np.frombuffer(m, "<u2") for m in group.column("marks").to_pylist()])
+    bags = [shingles(t) for t in group.column("text").to_pylist()]
+    sizes = np.array([int(w.sum()) for _, w in bags])
+    elements, place = np.unique(np.concatenate([s for s, _ in bags]), return_inverse=True)
+    cuts = np.cumsum([0, *(len(s) for s, _ in bags)])
+    bags = [(place[a:b], w) for a, b, (_, w) in zip(cuts, cuts[1:], bags)]
+    room = np.zeros(len(elements), dtype=np.int64)
+    whole = low == group.column("high")[0].as_py()
+    left = np.arange(len(nid)) if whole else np.flatnonzero(block == low)
+    right = left if whole else np.flatnonzero(block != low)
+    if not len(left) or not len(right):
+        return []
+    _, joined = np.unique(component, return_inverse=True)
+    links = []
+    for a in range(0, len(left), 32):
+        rows = left[a : a + 32]
+        same = marks[rows][:, None, :] == marks[right][None, :, :]
+        fits = same.mean(axis=2) >= LEAST_AGREEMENT
+        fits &= ~same.reshape(len(rows), len(right), -1, ROWS).all(axis=3)[:, :, :band].any(axis=2)
+        one, two = sizes[rows][:, None], sizes[right][None, :]
+        fits &= np.minimum(one, two) >= least * np.maximum(one, two)
+        if whole:
+            fits &= rows[:, None] < right[None, :]
+        for i, fit in zip(rows, fits, strict=True):
+            near = right[fit]
+            near = near[joined[near] != joined[i]]
+            if not len(near):
+                continue
+            both = _overlap(bags[i], [bags[j] for j in near], room)
+            for j in near[both / (sizes[i] + sizes[near] - both) >= least]:
+                if joined[j] != joined[i]:
+                    joined[joined == joined[j]] = joined[i]
+                    links.append((int(nid[i]), int(nid[j])))
+    return links
+
+
+def _further_links(buckets: DataFrame, paired: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """Links between different components that share a band, found inside the bands."""
     own = buckets.join(classes, "nid", "left").withColumn("component", F.coalesce("component", "nid"))
-    mixed = own.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = mixed.where("low != high").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = own.join(mixed, "bucket").join(marks, "nid")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("nid"), F.col("blocks")).cast("int"))
+    size = paired.select("nid", F.octet_length("text").alias("bytes"))
+    mixed = own.join(size, "nid").groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    mixed = mixed.where("low != high").select("bucket", blocks.alias("blocks"))
+    rows = own.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("nid"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high")
-    rows = rows.select("bucket", low, high, "block", "nid", "component", "marks")
+    rows = rows.select("bucket", "band", low, high, "block", "nid", "component").join(paired.select("nid", "marks", "text"), "nid")
 
     def compare(group: pa.Table) -> pa.Table:
-        nid, component, block = (group.column(c).to_numpy() for c in ("nid", "component", "block"))
-        marks = np.stack([np.frombuffer(m, "<u2") for m in group.column("marks").to_pylist()])
-        same_block = group.column("low")[0] == group.column("high")[0]
-        left = np.arange(len(nid)) if same_block else np.flatnonzero(block == group.column("low")[0].as_py())
-        right = left if same_block else np.flatnonzero(block != group.column("low")[0].as_py())
-        found: set[tuple[int, int]] = set()
-
-        def add(i: np.ndarray, j: np.ndarray) -> None:
-            found.update(zip(np.maximum(nid[i], nid[j]).tolist(), np.minimum(nid[i], nid[j]).tolist(), strict=True))
-
-        for a in range(0, len(left), 64):
-            rows = left[a : a + 64]
-            alike = (marks[rows][:, None, :] == marks[right][None, :, :]).mean(axis=2)
-            alike[component[rows][:, None] == component[right][None, :]] = -1
-            i, j = np.nonzero(alike >= LEAST_AGREEMENT)
-            if best and len(i):
-                for ours, theirs, key in ((i, j, component[right[j]]), (j, i, component[rows[i]])):
-                    order = np.lexsort((-alike[i, j], key, ours))
-                    lead = np.ones(len(order), dtype=bool)
-                    lead[1:] = (np.diff(ours[order]) != 0) | (np.diff(key[order]) != 0)
-                    add(rows[i[order[lead]]], right[j[order[lead]]])
-            else:
-                add(rows[i], right[j])
-        pairs = sorted(found)
-        return pa.table([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-    return rows.groupBy("bucket", "low", "high").applyInArrow(compare, "a long, b long").distinct()
+        links = _links_within(group, least)
+        return pa.table([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return rows.groupBy("bucket", "low", "high").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -238,29 +270,23 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     grouped = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("marks").alias("marks"), F.max("bands").alias("bands"))
     # The numbers are written with the rows, so they stay.
     nodes = materialize(grouped.withColumn("nid", F.monotonically_increasing_id()))
-    exploded = nodes.select("nid", F.explode("bands").alias("bucket"))
+    exploded = nodes.select("nid", F.posexplode("bands").alias("band", "bucket"))
     several = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     buckets = materialize(exploded.join(several, "bucket"))
-    paired = buckets.select("nid").distinct().join(nodes.select("nid", "node", "doc_id", "marks"), "nid")
-    paired = materialize(paired)
-    marks = paired.select("nid", "marks")
     # One row of each node that may have a partner, with its text.
-    keys = paired.select("nid", F.col("node").alias("own_node"), F.col("doc_id").alias("own_id"))
+    keys = buckets.select("nid").distinct().join(nodes.select("nid", "node", "doc_id", "marks"), "nid")
+    keys = keys.select("nid", "marks", F.col("node").alias("own_node"), F.col("doc_id").alias("own_id"))
     whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     digest = F.unhex(F.md5(F.col("text").cast("binary")))
     mine = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("own_node") == digest)
-    texts = materialize(whole.join(keys, mine).select("nid", "text").dropDuplicates(["nid"]))
+    paired = materialize(whole.join(keys, mine).select("nid", "marks", "text").dropDuplicates(["nid"]))
 
-    links = materialize(_verified(_first_pairs(buckets, marks), texts, least))
+    links = materialize(_verified(_first_pairs(buckets, paired.select("nid", "marks")), paired.select("nid", "text"), least))
     classes = materialize(components(links).withColumnRenamed("node", "nid"))
-    for best in (True, False):
-        pairs = materialize(_further_pairs(buckets, marks, classes, best=best))
-        if pairs.isEmpty():
-            break
-        more = materialize(_verified(pairs, texts, least))
-        if not more.isEmpty():
-            joined = classes.select(F.col("nid").alias("a"), F.col("component").alias("b"))
-            classes = materialize(components(joined.union(more)).withColumnRenamed("node", "nid"))
+    more = materialize(_further_links(buckets, paired, classes, least))
+    if not more.isEmpty():
+        joined = classes.select(F.col("nid").alias("a"), F.col("component").alias("b"))
+        classes = materialize(components(joined.union(more)).withColumnRenamed("node", "nid"))
 
     member = nodes.select("nid", "node", "doc_id").join(classes, "nid", "left")
     member = member.withColumn("component", F.coalesce("component", "nid"))
