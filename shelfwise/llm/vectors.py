@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.components import components
-from shelfwise.llm.hnsw import Graph
+from shelfwise.llm.hnsw import LINKS, Graph
 from shelfwise.session import materialize
 
 COSINE = 0.98
@@ -45,9 +45,15 @@ def audited_search(graph: Graph, queries: np.ndarray, least: float, beam: int =
     """For every query the nodes that may reach ``least``, from beams widened until the audit passes.
 
     The audit answers some queries by brute force. After it, queries whose beam ends above ``least`` are asked again with
-    a beam twice as wide, until it ends below or holds the whole shard.
+    a beam twice as wide, until it ends below or holds the whole shard (which is then
+    compared directly: that costs less).
     """
     n, floor = len(graph.points), least - MARGIN
+
+    def wider(beam: int) -> int:
+        """Twice the beam; the whole shard once the links followed from the beam would be as many as its vectors."""
+        return 2 * beam if 2 * beam * 2 * LINKS < n else n
+
     audit = np.unique(np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(np.int64))
     truth = queries[audit] @ graph.points.T
     nearest = np.sort(truth, axis=1)[:, -2:]  # the query itself may be there
@@ -58,7 +64,7 @@ def audited_search(graph: Graph, queries: np.ndarray, least: float, beam: int =
         seen = (sims[:, :2][:, ::-1][:, -nearest.shape[1] :] >= nearest - 1e-6).mean() if beam > 1 else 1.0
         if beam >= n or (seen >= NEAREST_FOUND and got >= LINKS_FOUND * expected):
             break
-        beam = min(2 * beam, n)
+        beam = wider(beam)
     out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(queries)
     left = np.arange(len(queries))
     while len(left):
@@ -73,7 +79,7 @@ def audited_search(graph: Graph, queries: np.ndarray, least: float, beam: int =
         full = (sims[:, -1] >= floor) & (ids[:, -1] >= 0)
         for r, own, alike in zip(left[~full], ids[~full], sims[~full], strict=True):
             out[r] = own[(alike >= floor) & (own >= 0)]
-        left, beam = left[full], min(2 * beam, n)
+        left, beam = left[full], wider(beam)
     return out
 
 
