@@ -504,7 +504,7 @@ FROM (SELECT g.feature, count(*) AS k, CAST(sum(g.n) AS BIGINT) AS n, sum(g.n *
         )
     ),
     "pivot_cells": on_profiled(
-        "SELECT Item_Identifier AS row_label, Outlet_Identifier AS column_label, round(avg(Item_Outlet_Sales), 4) AS mean "
+        "SELECT Item_Identifier AS row_label, Outlet_Identifier AS column_label, round(avg(Item_Outlet_Sales), 8) AS mean "
         "FROM profiled GROUP BY 1, 2"
     ),
     "standardize_values": on_base(f"SELECT {IDS}, {', '.join(R.label_fixes)} FROM base"),

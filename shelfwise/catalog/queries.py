@@ -188,7 +188,7 @@ def pivot_itemtype_location(spark, folder):
 @query
 def pivot_cells(spark, folder):
     """A pivot too wide for columns: items by outlets."""
-    return tidy(cat.pivot_cells(profiled(spark, folder), R.item, R.outlet, R.target))
+    return tidy(cat.pivot_cells(profiled(spark, folder), R.item, R.outlet, R.target), 8)
 
 
 @query
