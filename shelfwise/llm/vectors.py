@@ -60,7 +60,8 @@ def audited_search(graph: Graph, queries: np.ndarray, least: float, beam: int =
     beam = min(beam, n)
     while True:
         ids, sims = graph.search(queries[audit], beam)
-        expected, got = (truth >= floor).sum(), (sims >= floor).sum()
+        # A beam that is full of links is widened below, whatever it holds.
+        expected, got = np.minimum((truth >= floor).sum(axis=1), beam).sum(), (sims >= floor).sum()
         seen = (sims[:, :2][:, ::-1][:, -nearest.shape[1] :] >= nearest - 1e-6).mean() if beam > 1 else 1.0
         if beam >= n or (seen >= NEAREST_FOUND and got >= LINKS_FOUND * expected):
             break
