@@ -83,6 +83,34 @@ def test_search_finds_links_in_tight_groups():
     assert sum(map(len, found)) >= 0.99 * truth
 
 
+def unlinked(n=3000, far=25):
+    """Pairs of near vectors, and a graph that no link leads to the later half of ``far`` of them."""
+    rng = np.random.default_rng(5)
+    half = rng.normal(size=(n // 2, 16))
+    points = unit(np.concatenate([half, half + 0.01 * rng.normal(size=half.shape)])).astype(np.float32)
+    graph = Graph(points)
+    for table in graph.links:
+        table[(table >= n // 2 + 1) & (table <= n // 2 + far)] = -1
+    return graph, points
+
+
+def test_every_query_is_audited():
+    graph, points = unlinked()
+    found = audited_search(graph, points, 0.98)
+    truth = points @ points.T >= 0.98
+    assert [i for i, own in enumerate(found) if np.setdiff1d(np.flatnonzero(truth[i]), own).size] == []
+
+
+def test_queries_with_more_links_than_a_beam():
+    rng = np.random.default_rng(6)
+    points = unit(np.concatenate([rng.normal(size=(4500, 16)), rng.normal(size=(1, 16)) + 0.01 * rng.normal(size=(150, 16))])).astype(np.float32)
+    graph = Graph(points)
+    for table in graph.links:
+        table[table >= 4600] = -1
+    found = audited_search(graph, points, 0.98)
+    assert all(np.isin(np.arange(4500, 4650), own).all() for own in found[4500:])
+
+
 def test_query(spark):
     table = read_table(FOLDER, "embeddings")
     rows = [(int(a), list(map(float, b)), int(c)) for a, b, c in zip(table["vec_id"], table["embedding"], table["label"], strict=True)]
