@@ -38,6 +38,12 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
+def cosines(rows: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """Products of unit vectors, each summed by itself: a matrix product rounds a row by its place among the others, so a
+    link at the threshold could be seen from one end only."""
+    return (rows * vector).sum(axis=1)
+
+
 def audited_search(graph: Graph, queries: np.ndarray, least: float, beam: int = BEAM) -> list[np.ndarray]:
     """For every query all nodes that may reach ``least``, ascending: those its beam found, and those it missed.
 
@@ -111,7 +117,7 @@ def near_vectors(rows: DataFrame, least: float = COSINE, shard: int = SHARD, que
 
         counts, links = [], []
         for name, vector, near in zip(names.tolist(), asked, audited_search(graph, asked.astype(np.float32), least), strict=True):
-            near = near[(exact[near] @ vector >= least) & (ids[near] != name)]
+            near = near[(cosines(exact[near], vector) >= least) & (ids[near] != name)]
             counts.append((name, -1, int(weights[near].sum())))
             for other in ids[near].tolist():
                 a, b = root(name), root(other)

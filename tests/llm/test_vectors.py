@@ -8,7 +8,7 @@ from llm_fixtures import FOLDER, read_table
 from shelfwise.llm.components import components
 from shelfwise.llm.hnsw import Graph
 from shelfwise.llm.queries import LLM_CATALOG
-from shelfwise.llm.vectors import audited_search, near_vectors, unit
+from shelfwise.llm.vectors import audited_search, cosines, near_vectors, unit
 
 SCHEMA = "vec_id long, embedding array<float>, label int, extra string"
 
@@ -101,6 +101,22 @@ def test_every_query_is_audited():
     assert [i for i, own in enumerate(found) if np.setdiff1d(np.flatnonzero(truth[i]), own).size] == []
 
 
+def test_links_are_found_from_both_ends():
+    graph, points = unlinked()
+    found = audited_search(graph, points, 0.98)
+    links = {(i, int(j)) for i, own in enumerate(found) for j in own}
+    assert links == {(j, i) for i, j in links}
+
+
+def test_cosines_are_equal_from_both_ends():
+    rng = np.random.default_rng(7)
+    points = unit(rng.normal(size=64) + 0.05 * rng.normal(size=(60, 64)))
+    for _ in range(300):
+        i, j = rng.choice(60, 2, replace=False)
+        some, others = (rng.choice(60, rng.integers(1, 20)) for _ in "ab")
+        assert cosines(points[[*some, j]], points[i])[-1] == cosines(points[[*others, i]], points[j])[-1]
+
+
 def test_queries_with_more_links_than_a_beam():
     rng = np.random.default_rng(6)
     points = unit(np.concatenate([rng.normal(size=(4500, 16)), rng.normal(size=(1, 16)) + 0.01 * rng.normal(size=(150, 16))])).astype(np.float32)
