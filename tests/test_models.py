@@ -6,6 +6,7 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from shelfwise.catalog import queries as catalog
 from shelfwise.config import RETAIL as R
 from shelfwise.operators import evaluate as ev
 from shelfwise.operators import regress
@@ -172,3 +173,27 @@ def test_sections_and_metrics_history(spark, sales, model, tmp_path):
         tables.append_metrics(model.metrics(), str(tmp_path / "history"))
     history = spark.read.parquet(str(tmp_path / "history"))
     assert history.count() == 32 and history.where("recorded_at IS NULL").isEmpty()
+
+
+def test_model_queries_train_the_full_settings_on_the_tables_as_they_are(spark, folder, monkeypatch):
+    runs = []
+    monkeypatch.setattr(catalog.SalesTrainer, "fit", lambda self, df: runs.append(regress.default_members(SCALED, self.members)))
+    for _ in range(2):
+        catalog.trained(spark, folder)
+    assert len(runs) == 2
+    for members in runs:
+        for name, settings in (("rf", regress.FOREST), ("gbt", regress.BOOSTING), ("ridge", regress.RIDGE)):
+            assert {k: members[name].getOrDefault(k) for k in settings} == settings
+
+
+def test_cv_results_search_the_whole_grids(spark, folder, model, monkeypatch):
+    searched = {}
+
+    def tune(estimator, grid, train):
+        searched[estimator.getPredictionCol()] = grid
+        return None, [({"point": 1}, 0.5)]
+
+    monkeypatch.setattr(catalog, "trained", lambda *_: model)
+    monkeypatch.setattr(catalog.regress, "tune", tune)
+    assert catalog.cv_results(spark, folder).count() == 3
+    assert searched == {f"pred_{name}": grid for name, grid in regress.DEFAULT_GRIDS.items()}
