@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -113,8 +114,8 @@ def read_text(text: str, memory: _Words) -> tuple[np.ndarray, np.ndarray, float]
     fired = np.bincount(codes // BUCKETS, minlength=voters.number + 1)[1:].astype(np.int32)
     hits = int(fired.sum())
     shares = np.sqrt(np.bincount(codes % BUCKETS, minlength=BUCKETS) / max(len(codes), 1)).astype(np.float32)
-    letters = sum(map(str.isalpha, text[: 1 << 20])) if text.isupper() else 0
-    fired[voters.number - 3] = text.isupper() and letters > 10
+    letters = sum(1 for _ in islice(filter(str.isalpha, text), 11)) if text.isupper() else 0
+    fired[voters.number - 3] = letters > 10
     fired[voters.number - 2] = text.count("!!") > 2
     fired[voters.number - 1] = not fired.any()
     return fired, shares, hits / max(len(codes), 1)

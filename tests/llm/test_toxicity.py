@@ -38,6 +38,13 @@ def test_voters():
         assert read_text(text, memory)[0].tolist() == [0] * (voters.number - 1) + [1]
 
 
+def test_shouting_after_many_digits():
+    voters = Voters.of([])
+    memory = toxicity._Words(voters)
+    for text, loud in (("SHOUTED WORDS", 1), ("7" * (1 << 20) + " SHOUTED WORDS", 1), ("7" * (1 << 20) + " TEN LETTER", 0)):
+        assert read_text(text, memory)[0][voters.number - 3] == loud
+
+
 def votes(rng, n, rates, twin):
     """Votes of voters with known rates, one that repeats the voter ``twin``, and one that fires where none does."""
     toxic = rng.random(n) < 0.2
