@@ -1,7 +1,9 @@
-"""Best-fit packing of token sequences by bulk-synchronous steps.
+"""Best-fit packing of token sequences, planned by the driver over counts of their lengths.
 
-Pieces of one length are interchangeable, so a step deals with all of them at once. The pieces are range-sorted: a
-piece's place is its length and its rank within it, worked out from counts per length and input partition. Sequences
+Pieces of one length are interchangeable, so a step deals with all of them at once. A
+piece's place is its length and its rank within it, worked out from counts per length and input partition; no range
+sort and no distributed sweep over pieces and gaps is run, as the counts, at most one per length up to the capacity, are
+all that a sweep would need. The steps below are a loop in the driver (``plan``). Sequences
 are kept the same way, as runs of consecutive sequences with equal gap. A step takes the next smaller length, finds its
 successor among the gaps (the smallest that fits), matches pieces to sequences by rank so that no two meet, updates
 the gaps and repeats until the length is used up. What a step reads and writes is at most one run per gap, whatever the
