@@ -9,8 +9,7 @@ time has passed the slowest register.
 
 Texts that are equal are one node. Candidates are nodes that agree in all registers of a band. Only links between
 different components matter, so they are checked in two rounds: each node with the best of the smallest nodes of its
-bands; then, inside each band that still holds several components, all pairs in different ones whose signatures do not rule
-out the similarity. Large bands are dealt out in blocks, and only links that join components are written.
+bands; then, inside each band that still holds several components, all pairs in different ones. Large bands are dealt out in blocks, and only links that join components are written.
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ from shelfwise.session import materialize
 WORDS = 5
 SIMILARITY = 0.8
 REGISTERS, ROWS = 96, 4
-#: Signatures that agree in a smaller share of registers rule a pair out: five standard deviations below the similarity.
+#: Pairs whose signatures agree in a smaller share of registers are left to the second round.
 LEAST_AGREEMENT = 0.6
 #: Nodes of one band, and bytes of their texts, that a task compares at once with as many others.
 BLOCK, BLOCK_BYTES = 2000, 16 << 20
@@ -195,11 +194,12 @@ def _overlap(own: tuple[np.ndarray, np.ndarray], others: list[tuple[np.ndarray,
 def _links_within(group: pa.Table, least: float) -> list[tuple[int, int]]:
     """Links that join different components among the nodes of a band, or between two blocks of them.
 
-    Pairs are looked at once only: in the first band they share, and while they are not joined yet.
+    Pairs are looked at once only: in the first band whose hash they share, and while they are not joined yet. All that may
+    reach ``least`` by their sizes are decided by their exact overlap.
     """
     nid, component, block = (group.column(c).to_numpy() for c in ("nid", "component", "block"))
     band, low = group.column("band")[0].as_py(), group.column("low")[0].as_py()
-    marks = np.stack([np.frombuffer(m, "<u2") for m in group.column("marks").to_pylist()])
+    earlier = np.array(group.column("bands").to_pylist(), dtype=np.int64)[:, :band]
     bags = [shingles(t) for t in group.column("text").to_pylist()]
     sizes = np.array([int(w.sum()) for _, w in bags])
     elements, place = np.unique(np.concatenate([s for s, _ in bags]), return_inverse=True)
@@ -215,9 +215,7 @@ def _links_within(group: pa.Table, least: float) -> list[tuple[int, int]]:
     links = []
     for a in range(0, len(left), 32):
         rows = left[a : a + 32]
-        same = marks[rows][:, None, :] == marks[right][None, :, :]
-        fits = same.mean(axis=2) >= LEAST_AGREEMENT
-        fits &= ~same.reshape(len(rows), len(right), -1, ROWS).all(axis=3)[:, :, :band].any(axis=2)
+        fits = ~(earlier[rows][:, None, :] == earlier[right][None, :, :]).any(axis=2)
         one, two = sizes[rows][:, None], sizes[right][None, :]
         fits &= np.minimum(one, two) >= least * np.maximum(one, two)
         if whole:
@@ -247,7 +245,7 @@ def _further_links(buckets: DataFrame, paired: DataFrame, classes: DataFrame, le
     rows = own.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("nid"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high")
-    rows = rows.select("bucket", "band", low, high, "block", "nid", "component").join(paired.select("nid", "marks", "text"), "nid")
+    rows = rows.select("bucket", "band", low, high, "block", "nid", "component").join(paired.select("nid", "bands", "text"), "nid")
 
     def compare(group: pa.Table) -> pa.Table:
         links = _links_within(group, least)
@@ -263,8 +261,9 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     least ``least`` of their five-word shingles, equal texts (null counts as empty) always do. Texts without a word link
     with equal ones only. ``class_id`` is the smallest doc_id of the class, null where all are null; ``representative``
     marks the rows with that doc_id and the text that goes with it (more than one where such a row is repeated). ``node``
-    tells equal texts. No rows give no rows; other columns are not read. Links are exact; a pair is missed with a
-    probability of about 3 in a million at the least similarity, and less above.
+    tells equal texts. No rows give no rows; other columns are not read. Links are exact, and every pair that
+    shares a band is decided; a pair shares none with a probability of about 3 in a million at the least similarity, and
+    less above.
     """
     signed = materialize(_sign(docs.select("doc_id", "text")))
     grouped = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("marks").alias("marks"), F.max("bands").alias("bands"))
@@ -274,12 +273,12 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     several = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     buckets = materialize(exploded.join(several, "bucket"))
     # One row of each node that may have a partner, with its text.
-    keys = buckets.select("nid").distinct().join(nodes.select("nid", "node", "doc_id", "marks"), "nid")
-    keys = keys.select("nid", "marks", F.col("node").alias("own_node"), F.col("doc_id").alias("own_id"))
+    keys = buckets.select("nid").distinct().join(nodes.select("nid", "node", "doc_id", "marks", "bands"), "nid")
+    keys = keys.select("nid", "marks", "bands", F.col("node").alias("own_node"), F.col("doc_id").alias("own_id"))
     whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     digest = F.unhex(F.md5(F.col("text").cast("binary")))
     mine = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("own_node") == digest)
-    paired = materialize(whole.join(keys, mine).select("nid", "marks", "text").dropDuplicates(["nid"]))
+    paired = materialize(whole.join(keys, mine).select("nid", "marks", "bands", "text").dropDuplicates(["nid"]))
 
     links = materialize(_verified(_first_pairs(buckets, paired.select("nid", "marks")), paired.select("nid", "text"), least))
     classes = materialize(components(links).withColumnRenamed("node", "nid"))

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import FOLDER, LONG, read_table
 
@@ -91,6 +92,20 @@ def test_classes(spark, block, monkeypatch):
     assert Counter(r["class_id"] for r in got if r["representative"]) == Counter({r["class_id"]: 1 for r in got})
 
 
+@pytest.mark.parametrize("alike", [0, 1, 4])
+def test_pairs_in_a_band_are_decided_by_their_overlap(alike):
+    """Whether few, other or all registers agree in their marks: the first band that the pair shares is the fourth."""
+    words = [f"w{i}" for i in range(100)]
+    marks = np.arange(2 * REGISTERS, dtype="<u2").reshape(2, -1)
+    marks[1, : alike * REGISTERS // 4] = marks[0, : alike * REGISTERS // 4]
+    bands = np.arange(48).reshape(2, -1)
+    bands[1, 3] = bands[0, 3]
+    group = {"nid": [5, 6], "component": [5, 6], "block": [0, 0], "band": [3, 3], "low": [0, 0], "high": [0, 0]}
+    group |= {"marks": [m.tobytes() for m in marks], "bands": bands.tolist(), "text": [" ".join(words), " ".join([*words, "end"])]}
+    assert bagminhash._links_within(pa.table(group), 0.8) == [(5, 6)]
+    assert bagminhash._links_within(pa.table(group | {"band": [5, 5]}), 0.8) == []
+
+
 def test_odd_rows(odd_docs, odd_rows, no_docs):
     clash = odd_docs.withColumnRenamed("source", "node").withColumnRenamed("n_chars", "nid")
     got = near_duplicates(clash).collect()
