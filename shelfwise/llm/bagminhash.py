@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import fresh, slices
+from shelfwise.llm.common import fresh, give_back, giving_back, slices
 from shelfwise.llm.components import components
 from shelfwise.session import materialize
 
@@ -33,12 +33,11 @@ REGISTERS, ROWS = 96, 4
 #: Pairs whose signatures agree in a smaller share of registers are left to the second round.
 LEAST_AGREEMENT = 0.6
 #: Nodes of one band, and bytes of their texts, that a task compares at once with as many others.
-BLOCK, BLOCK_BYTES = 2000, 16 << 20
-#: Words remembered by one Python worker.
-REMEMBERED = 300_000
+BLOCK, BLOCK_BYTES = 2000, 8 << 20
+#: Words remembered while a batch is worked on.
+REMEMBERED = 50_000
 
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
-_WORD_HASHES: dict[bytes, int] = {}
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -48,21 +47,23 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def _word_hash(word: bytes) -> int:
-    found = _WORD_HASHES.get(word)
-    if found is None:
+class WordHashes(dict):
+    """Word -> hash, kept as long as there is room; nothing outlives the batch that it was made for."""
+
+    def __missing__(self, word: bytes) -> int:
         found = xxhash.xxh64_intdigest(word)
-        if len(_WORD_HASHES) < REMEMBERED:
-            _WORD_HASHES[word] = found
-    return found
+        if len(self) < REMEMBERED:
+            self[word] = found
+        return found
 
 
-def shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
+def shingles(text: str, memory: WordHashes | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct five-word shingles of a text, ascending, and how often each occurs.
 
     Words are separated by space, tab and line ends. A text of one to four words is a single shingle.
     """
-    words = np.array([_word_hash(w) for w in text.encode("utf-8", "surrogatepass").split()], dtype=np.uint64)
+    memory = WordHashes() if memory is None else memory
+    words = np.array([memory[w] for w in text.encode("utf-8", "surrogatepass").split()], dtype=np.uint64)
     if not len(words):
         return words, np.zeros(0, np.int64)
     n = max(len(words) - WORDS + 1, 1)
@@ -120,14 +121,16 @@ def _sign(docs: DataFrame) -> DataFrame:
     own = [T.StructField("node", T.BinaryType()), T.StructField("marks", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))]
     schema = T.StructType([key, *own])
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            memory = WordHashes()
             for part in slices(batch):
                 nodes = part.column("node").to_pylist()
                 at = {n: i for i, n in reversed(list(enumerate(nodes)))}  # the first row of each node
                 rows = sorted(at.values())
                 texts = part.column("text").take(pa.array(rows)).to_pylist()
-                found = [shingles(x or "") for x in texts]
+                found = [shingles(x or "", memory) for x in texts]
                 bits = signatures(found).view(np.uint64)
                 marks = (_mix(bits) >> np.uint64(48)).astype("<u2")
                 grouped = bits.reshape(len(rows), -1, ROWS)
@@ -147,14 +150,16 @@ def _sign(docs: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose texts are at least that similar."""
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            memory = WordHashes()
             for part in slices(batch):
                 kept, held = [], {}  # smaller nodes come up again and again
                 for i, (b, one, two) in enumerate(zip(*(part.column(c).to_pylist() for c in ("b", "one", "two")), strict=True)):
                     if b not in held:
-                        held[b] = shingles(two)
-                    if similarity(shingles(one), held[b]) >= least:
+                        held[b] = shingles(two, memory)
+                    if similarity(shingles(one, memory), held[b]) >= least:
                         kept.append(i)
                 yield part.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
@@ -200,12 +205,18 @@ def _links_within(group: pa.Table, least: float) -> list[tuple[int, int]]:
     nid, component, block = (group.column(c).to_numpy() for c in ("nid", "component", "block"))
     band, low = group.column("band")[0].as_py(), group.column("low")[0].as_py()
     earlier = np.array(group.column("bands").to_pylist(), dtype=np.int64)[:, :band]
-    bags = [shingles(t) for t in group.column("text").to_pylist()]
-    sizes = np.array([int(w.sum()) for _, w in bags])
-    elements, place = np.unique(np.concatenate([s for s, _ in bags]), return_inverse=True)
-    cuts = np.cumsum([0, *(len(s) for s, _ in bags)])
-    bags = [(place[a:b], w) for a, b, (_, w) in zip(cuts, cuts[1:], bags)]
-    room = np.zeros(len(elements), dtype=np.int64)
+    memory, hashed, times = WordHashes(), [], []
+    for text in group.column("text"):  # one text at a time is a Python string
+        some, w = shingles(text.as_py(), memory)
+        hashed.append(some)
+        times.append(w.astype(np.int32))
+    sizes = np.array([int(w.sum()) for w in times])
+    cuts = np.cumsum([0, *(len(s) for s in hashed)])
+    elements, place = np.unique(np.concatenate(hashed), return_inverse=True)
+    room = np.zeros(len(elements), dtype=np.int32)
+    del hashed, elements, memory
+    place = place.astype(np.int32)
+    bags = [(place[a:b], w) for a, b, w in zip(cuts, cuts[1:], times)]
     whole = low == group.column("high")[0].as_py()
     left = np.arange(len(nid)) if whole else np.flatnonzero(block == low)
     right = left if whole else np.flatnonzero(block != low)
@@ -249,6 +260,8 @@ def _further_links(buckets: DataFrame, paired: DataFrame, classes: DataFrame, le
 
     def compare(group: pa.Table) -> pa.Table:
         links = _links_within(group, least)
+        if group.nbytes > BLOCK_BYTES // 4:
+            give_back()
         return pa.table([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return rows.groupBy("bucket", "low", "high").applyInArrow(compare, "a long, b long")

@@ -19,7 +19,7 @@ LEAST, LONGEST, FIRST = 10, 3, 2000
 #: Share of a phrase's occurrences, in hundredths, that lie inside one longer phrase and so make it a part of that.
 INSIDE = 50
 #: Text that a task counts at a time, and text for each hash partition of phrases.
-CHUNK_BYTES, PART_BYTES = 16 << 20, 12 << 20
+CHUNK_BYTES, PART_BYTES = 8 << 20, 12 << 20
 #: Hash partitions dealt in one shuffle; more than these are dealt in two.
 FAN = 512
 
@@ -221,7 +221,9 @@ def frequent_phrases(docs: DataFrame, lang: Column, least: int = LEAST, longest:
     if total > first:
         # A coarse part holds every first-th part; its blocks are merged by languages in many tasks before being split.
         blocks = blocks.repartition("lang", "part").mapInArrow(_joined(batch_of), shape).mapInArrow(split, shape)
-    found = materialize(blocks.groupBy("lang", "part").applyInArrow(gather, "lang string, phrase string, f long"))
+    # As many tasks as parts, not as the session's setting says: a task's share must not grow with the input.
+    spread = blocks.repartition(min(4 * total, 20_000), "lang", "part")
+    found = materialize(spread.groupBy("lang", "part").applyInArrow(gather, "lang string, phrase string, f long"))
     words = found.where("phrase IS NULL").groupBy("lang").agg(F.lit(None).cast("string").alias("phrase"), F.sum("f").alias("f"))
     return found.where("phrase IS NOT NULL").union(words)
 

@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 from shelfwise.session import materialize
 
 
+#: Nodes whose links a task joins before it passes them on.
+HELD = 200_000
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace the links that a task holds by one link from each node to the smallest it reaches through them."""
+    """Replace the links that a task holds by one link from each node to the smallest it reaches through them, for about
+    ``HELD`` nodes at a time."""
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -20,15 +25,21 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parent[x] = x = parent[parent[x]]
         return x
 
+    def stars() -> Iterator[pa.RecordBatch]:
+        links = [(x, root(x)) for x in list(parent)]
+        links = [(x, r) for x, r in links if x != r]
+        parent.clear()
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
+
     for batch in batches:
         for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
             a, b = root(a), root(b)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-    links = [(x, root(x)) for x in list(parent)]
-    links = [(x, r) for x, r in links if x != r]
-    if links:
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
+        if len(parent) > HELD:
+            yield from stars()
+    yield from stars()
 
 
 def _stars(links: DataFrame, *, large: bool) -> DataFrame:

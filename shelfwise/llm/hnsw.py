@@ -34,7 +34,7 @@ class Graph:
             at, size = at + size, min(2 * size, BATCH)
 
     def dump(self) -> bytes:
-        return pickle.dumps((self.points, self.row, self.links, self.top), protocol=5)
+        return pickle.dumps((self.points, *([t.astype(np.int32) for t in tables] for tables in (self.row, self.links)), self.top), protocol=5)
 
     @classmethod
     def load(cls, raw: bytes) -> Graph:

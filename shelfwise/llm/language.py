@@ -7,7 +7,6 @@ where there are more than two families), fitted on a bounded sample of each lang
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import combinations
 from typing import NamedTuple
@@ -19,7 +18,7 @@ from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import fresh, held_out, slices
+from shelfwise.llm.common import fresh, give_back, giving_back, held_out, slices
 from shelfwise.llm.learning import bounded_sample, sparse
 from shelfwise.session import materialize
 
@@ -29,6 +28,8 @@ BITS = 13
 SIZE = 1 << BITS
 UNKNOWN = "und"
 ROUNDS, PENALTY = 20, 1e-4
+#: Share of rightly told documents that the least score of a learned language may pass over, before it is halved.
+PASSED_OVER = 0.001
 #: Slope that turns a margin into a score.
 SLOPE = 3.0
 
@@ -50,7 +51,9 @@ FAMILIES = {
 }
 FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 
-_LETTER = re.compile(r"[^\W\d_]")
+def has_letter(text: str | None) -> bool:
+    """Whether some character is of the Unicode category letter; digits, fractions and numerals of any kind are not."""
+    return any(map(str.isalpha, text or ""))
 
 
 def grams(text: str) -> np.ndarray:
@@ -85,17 +88,23 @@ class LanguageModel(NamedTuple):
     family_bias: np.ndarray
     members: dict[str, list[str]]
     machines: dict[str, list[Machine]]
+    least: float = 0.0  # what a text must score to pass for one in a learned language
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
-        at = [i for i, x in enumerate(texts) if x and _LETTER.search(x)]
-        if not at or not self.families:
-            return out
-        x = np.stack([features(texts[i]) for i in at])
+        at = [i for i, x in enumerate(texts) if has_letter(x)]
+        if at and self.families:
+            for i, found in zip(at, self.judge(np.stack([features(texts[i]) for i in at])), strict=True):
+                out[i] = found
+        return out
+
+    def judge(self, x: np.ndarray) -> list[tuple[str, float]]:
+        """Language and score for rows of features."""
+        out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(x)
         margins = x @ self.family_weights.T + self.family_bias
         first = margins.argmax(axis=1)
         ordered = np.sort(margins, axis=1)
-        gap = ordered[:, -1] - ordered[:, -2] if len(self.families) > 1 else np.full(len(at), np.inf)
+        gap = ordered[:, -1] - ordered[:, -2] if len(self.families) > 1 else np.full(len(x), np.inf)
         sure = 1 / (1 + np.exp(-SLOPE * gap))
         for number, family in enumerate(self.families):
             rows = np.flatnonzero(first == number)
@@ -114,13 +123,14 @@ class LanguageModel(NamedTuple):
             best = np.lexsort((-np.arange(len(names)) + np.zeros_like(votes), total, votes), axis=1)[:, -1]
             within = 1 / (1 + np.exp(-SLOPE * least[np.arange(len(rows)), best]))
             for row, winner, score in zip(rows, best, within * sure[rows], strict=True):
-                out[at[row]] = (names[winner], float(score))
+                out[row] = (names[winner], float(score))
         return out
 
 
 def _sample_features(rows: DataFrame) -> DataFrame:
     schema = "lang string, indices array<int>, shares array<double>"
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
@@ -140,7 +150,10 @@ def train(docs: DataFrame, most: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
     """
     rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where("lang is not null")
     rows = rows.where(~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))
-    sample = materialize(_sample_features(bounded_sample(rows, "lang", most, text="text")))
+    drawn = bounded_sample(rows, "lang", most, text="text")
+    # A row that is repeated counts once, or one key could fill the sample many times over.
+    own, kept = F.xxhash64(F.col("doc_id").cast("string"), "text").alias("own"), F.first("text").alias("text")
+    sample = materialize(_sample_features(drawn.groupBy("lang", own).agg(kept)))
     points = sample.select("lang", sparse(SIZE, F.col("indices"), F.col("shares")).alias("features")).persist()
     try:
         counts = {r["lang"]: r["count"] for r in points.groupBy("lang").count().collect()}
@@ -175,7 +188,28 @@ def train(docs: DataFrame, most: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
         }
     finally:
         points.unpersist()
-    return LanguageModel(families, weights, bias, members, machines)
+    model = LanguageModel(families, weights, bias, members, machines)
+    return model._replace(least=_least_score(sample, model))
+
+
+def _least_score(sample: DataFrame, model: LanguageModel) -> float:
+    """Half of what all but one in ``1 / PASSED_OVER`` sampled documents score that are told right; 0 without any."""
+
+    @giving_back
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                x = np.zeros((part.num_rows, SIZE), np.float32)
+                for row, at, shares in zip(x, part.column("indices").to_pylist(), part.column("shares").to_pylist()):
+                    row[at] = shares
+                found = model.judge(x)
+                right = [s for (name, s), lang in zip(found, part.column("lang").to_pylist()) if name == lang]
+                yield pa.RecordBatch.from_arrays([pa.array(right, pa.float64())], ["score"])
+
+    if not model.families:
+        return 0.0
+    found = sample.mapInArrow(run, "score double").agg(F.percentile("score", F.lit(PASSED_OVER))).first()[0]
+    return (found or 0.0) / 2
 
 
 def identify(docs: DataFrame, model: LanguageModel, predicted: str = "lang_pred", score: str = "score") -> DataFrame:
@@ -192,6 +226,7 @@ def identify(docs: DataFrame, model: LanguageModel, predicted: str = "lang_pred"
         rows = []
         for a in range(0, len(texts), 256):
             rows += shared.value.predict(texts.iloc[a : a + 256].tolist())
+        give_back()
         return pd.DataFrame(rows, columns=[predicted, score])
 
     found = fresh(docs, "found")
@@ -200,8 +235,9 @@ def identify(docs: DataFrame, model: LanguageModel, predicted: str = "lang_pred"
     return out.select(*kept, F.col(found)[predicted].alias(predicted), F.col(found)[score].alias(score))
 
 
-def accepted(docs: DataFrame, model: LanguageModel, least: float = 0.0) -> DataFrame:
-    """The rows of ``docs`` whose language is known with a score above ``least``, with the columns they came with."""
+def accepted(docs: DataFrame, model: LanguageModel, least: float | None = None) -> DataFrame:
+    """The rows of ``docs`` whose language is known with a score of ``least`` or more (that of the model if not given), with
+    the columns they came with. A text that scores less lies at the border of all languages learned."""
     predicted, score = fresh(docs, "lang_pred"), fresh(docs, "lang_score")
     found = identify(docs, model, predicted, score)
-    return found.where((F.col(predicted) != UNKNOWN) & (F.col(score) > least)).drop(predicted, score)
+    return found.where((F.col(predicted) != UNKNOWN) & (F.col(score) >= (model.least if least is None else least))).drop(predicted, score)

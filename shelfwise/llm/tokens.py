@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from shelfwise.llm.common import giving_back
+
 TOKENIZER = "byte_bpe_50k.json"
 #: Bytes of text encoded together (one longer text makes a block of its own); a task holds about ten times as much.
 BLOCK_BYTES = 24 << 20
@@ -124,6 +126,7 @@ def with_token_counts(docs: DataFrame, name: str, tokenizer: str | None = None)
     """``docs`` with the number of ids of each text, and one for its end, in the column ``name`` (not among its own)."""
     path, names = tokenizer or tokenizer_path(), [*docs.columns, name]
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         for batch in batches:

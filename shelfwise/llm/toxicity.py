@@ -5,14 +5,16 @@ found over-represented in a bounded sample of labelled toxic documents (so infle
 at shouting and at strings of exclamation marks, and one speaks where no voter does. Each voter either fires or says nothing.
 
 The label model is a two-class mixture fitted to the votes of all documents by expectation maximisation; labels of the
-documents that may be learned from are held fixed. It estimates for each voter how often it fires in either class, and
-for each pair how far they fire together beyond that. Voters of a correlated group share one weight. The classifier is
-a logistic regression on the posteriors of a bounded sample, over the votes, their number and share, and hashed words.
+documents that may be learned from are held fixed there and go no further. It estimates for each voter how often it
+fires in either class, and for each pair how far they fire together beyond that. Voters of a correlated group share one
+weight. The classifier is a logistic regression on the posteriors, which the votes alone decide, of a bounded sample,
+over the votes, their number and share, and hashed words.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from itertools import islice
 from typing import NamedTuple
@@ -24,7 +26,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import fresh, held_out, slices, texts_of
+from shelfwise.llm.common import fresh, give_back, giving_back, held_out, slices, texts_of
 from shelfwise.llm.learning import bounded_sample, sparse
 from shelfwise.session import materialize
 
@@ -32,18 +34,18 @@ from shelfwise.session import materialize
 SAMPLE_PER_CLASS = 8000
 #: Documents of either predicted class that the classifier is fitted on.
 CLASSIFIER_SAMPLE = 8000
-#: Voters found in the sample, the fewest toxic documents one fires in, and the least log of its lift.
-FOUND_VOTERS, LEAST_SUPPORT, LEAST_LIFT = 64, 6, 2.0
+#: Of a voter found in the sample, the fewest toxic documents it fires in and the least log of its lift.
+LEAST_SUPPORT, LEAST_LIFT = 6, 3.0
 #: Least log-likelihood ratio of a voter; among millions of candidates chance reaches about 14.
-LEAST_STRENGTH = 16.0
+LEAST_STRENGTH = 24.0
 #: Word beginnings of these lengths, and whole words, are candidates.
 BEGINNINGS = range(4, 9)
 ROUNDS = 10
 #: Correlation of two voters within a class from which they count as one group.
 CORRELATED = 0.5
 BUCKETS = 4096
-#: Words remembered by one Python worker.
-REMEMBERED = 400_000
+#: Words remembered while a batch is worked on.
+REMEMBERED = 50_000
 
 # Plain insults.
 INSULTS = (
@@ -76,35 +78,32 @@ class Voters(NamedTuple):
         whole = [f for f in found if not f.endswith("*")]
         fixed = [w for w in INSULTS if w not in whole and not any(w.startswith(h) for h in heads)]
         names = [*fixed, *whole]
-        return cls({w: i for i, w in enumerate(names)}, {h: len(names) + i for i, h in enumerate(heads)}, len(names) + len(heads) + 3)
+        return cls({w: i for i, w in enumerate(names)}, {h: len(names) + i for i, h in enumerate(heads)}, len(names) + len(heads) + len(cls.PATTERNS))
 
-    def word(self, word: str) -> int:
-        """The voter that a word sets off, or -1."""
+    def word(self, word: str, sizes: set[int] | None = None) -> int:
+        """The voter that a word sets off, or -1; ``sizes`` are the lengths of the beginnings, if known."""
         hit = self.words.get(word, -1)
-        for size in {len(h) for h in self.beginnings}:
+        for size in {len(h) for h in self.beginnings} if sizes is None else sizes:
             hit = max(hit, self.beginnings.get(word[:size], -1) if len(word) >= size else -1)
         return hit
 
 
 class _Words(dict):
-    """Word -> bucket and voter in one number, worked out once per worker as long as there is room."""
+    """Word -> bucket and voter in one number, kept as long as there is room; made anew for every batch."""
 
     def __init__(self, voters: Voters):
         super().__init__()
-        self.voters = voters
+        self.voters, self.sizes = voters, {len(h) for h in voters.beginnings}
 
     def __missing__(self, word: str) -> int:
-        code = (self.voters.word(word) + 1) * BUCKETS + hash_word(word)
+        code = (self.voters.word(word, self.sizes) + 1) * BUCKETS + hash_word(word)
         if len(self) < REMEMBERED:
             self[word] = code
         return code
 
 
 def hash_word(word: str) -> int:
-    x = 2166136261
-    for b in word.encode("utf-8", "surrogatepass"):
-        x = (x ^ b) * 16777619 & 0xFFFFFFFF
-    return (x ^ x >> 15) % BUCKETS
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
 
 
 def read_text(text: str, memory: _Words) -> tuple[np.ndarray, np.ndarray, float]:
@@ -123,7 +122,7 @@ def read_text(text: str, memory: _Words) -> tuple[np.ndarray, np.ndarray, float]
 
 def vector(fired: np.ndarray, shares: np.ndarray, share: float) -> np.ndarray:
     """What the classifier sees."""
-    lexical = fired[:-3]
+    lexical = fired[: -len(Voters.PATTERNS)]
     extra = np.array([np.log1p(lexical.sum()), (lexical > 0).sum() > 1, min(10 * share, 2.0)], dtype=np.float32)
     return np.concatenate([(fired > 0).astype(np.float32), extra, 0.5 * shares])
 
@@ -140,13 +139,16 @@ def _candidates(texts: list[str]) -> set[str]:
 
 
 def find_voters(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_PER_CLASS) -> Voters:
-    """The strongest words and beginnings in a bounded sample of the ``labels`` (doc_id, toxic) of ``docs`` (doc_id, text).
+    """Every word and beginning of ``LEAST_STRENGTH`` in a bounded sample of the ``labels`` (doc_id, toxic) of ``docs`` (doc_id, text).
 
-    Strength is the likelihood ratio of firing in toxic and other documents; of two, one within the other, the stronger stays.
+    Strength is the likelihood ratio of firing in toxic and other documents; of two, one within the other, the stronger
+    stays. The voters are as many as the sample bears out, whose size bounds them; a document that is repeated counts once.
     """
     # At most about two samples of ids are broadcast, so that no text is shuffled.
     sample = docs.join(F.broadcast(bounded_sample(labels, "toxic", most)), "doc_id").where("text is not null")
+    sample = sample.groupBy("doc_id").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic"))
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
@@ -169,14 +171,12 @@ def find_voters(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_PER_CLASS
     strength = F.col("a") * F.col("lift") + (F.lit(toxic) - F.col("a")) * F.log(
         (F.lit(toxic + 1) - F.col("a")) / (toxic + 1) / ((F.lit(other + 1) - F.col("b")) / (other + 1))
     )
-    ranked = strong.where(strength > LEAST_STRENGTH).orderBy(strength.desc(), F.length("candidate").desc(), "candidate").limit(20 * FOUND_VOTERS)
+    ranked = strong.where(strength > LEAST_STRENGTH).orderBy(strength.desc(), F.length("candidate").desc(), "candidate")
     chosen: list[str] = []
     for c in (r["candidate"] for r in ranked.collect()):
         stem = c.rstrip("*")
         if not any(stem.startswith(o.rstrip("*")) or o.startswith(stem) for o in chosen):
             chosen.append(c)
-        if len(chosen) == FOUND_VOTERS:
-            break
     return Voters.of(chosen)
 
 
@@ -301,26 +301,17 @@ class ToxicityModel(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(x.astype(np.float64) @ self.weights + self.bias, -30, 30)))
 
 
-_MEMORIES: dict[tuple, _Words] = {}
-
-
-def _memory(voters: Voters) -> _Words:
-    """The worker's memory for these voters; the one before it is dropped."""
-    key = (*voters.words, *voters.beginnings)
-    if key not in _MEMORIES:
-        _MEMORIES.clear()
-        _MEMORIES[key] = _Words(voters)
-    return _MEMORIES[key]
-
-
 def cast_votes(docs: DataFrame, voters: Voters) -> DataFrame:
     """doc_id and the bits of the voters that fire."""
     shared = docs.sparkSession.sparkContext.broadcast(voters)
 
     @F.pandas_udf("binary")
     def vote(texts: pd.Series) -> pd.Series:
-        memory = _memory(shared.value)
-        return pd.Series([np.packbits(read_text(t or "", memory)[0] > 0).tobytes() for t in texts])
+        memory = _Words(shared.value)
+        found = pd.Series([np.packbits(read_text(t or "", memory)[0] > 0).tobytes() for t in texts])
+        del memory
+        give_back()
+        return found
 
     return docs.select("doc_id", vote("text").alias("fired"))
 
@@ -346,16 +337,16 @@ def train(docs: DataFrame, labels: DataFrame, most: int = CLASSIFIER_SAMPLE) ->
         bits = np.unpackbits(np.stack([np.frombuffer(x, np.uint8) for x in fired]), axis=1)[:, : voters.number]
         return pd.Series(model.posterior(bits.astype(float)))
 
-    # Labels that may be learned from outrank the votes.
-    chance = F.coalesce(F.col("toxic").cast("double"), believe("fired"))
-    believed = materialize(labelled.select("doc_id", chance.alias("chance")).where("doc_id is not null"))
+    # The votes alone decide: a given label has had its say in the rates of the voters.
+    believed = materialize(votes.select("doc_id", believe("fired").alias("chance")).where("doc_id is not null"))
     believed = believed.withColumn("side", F.col("chance") >= 0.5)
     sizes = {r["side"]: r["n"] for r in believed.groupBy("side").agg(F.count(F.lit(1)).alias("n")).collect()}
     picked = bounded_sample(believed, "side", most).dropDuplicates(["doc_id"])
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _memory(shared.value[0])
         for batch in batches:
+            memory = _Words(shared.value[0])
             for part in slices(batch):
                 found = [vector(*read_text(t, memory)) for t in texts_of(part)]
                 at = [np.flatnonzero(x) for x in found]
@@ -363,7 +354,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = CLASSIFIER_SAMPLE) ->
                 columns.append(pa.array([x[i].astype(float) for x, i in zip(found, at, strict=True)], pa.list_(pa.float64())))
                 yield pa.RecordBatch.from_arrays(columns, ["side", "chance", "indices", "shares"])
 
-    rows = own.join(F.broadcast(picked), "doc_id").select("text", "side", "chance")
+    rows = own.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(*[F.first(c).alias(c) for c in ("text", "side", "chance")])
     sample = materialize(rows.mapInArrow(run, "side boolean, chance double, indices array<int>, shares array<double>"))
     width = voters.number + 3 + BUCKETS
     if not sizes.get(True) or not sizes.get(False):  # one class only: nothing to tell apart
@@ -393,9 +384,12 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, score: str = "score")
 
     @F.pandas_udf("double")
     def look(texts: pd.Series) -> pd.Series:
-        memory = _memory(shared.value.voters)
+        memory = _Words(shared.value.voters)
         parts = [texts.iloc[a : a + 256] for a in range(0, len(texts), 256)]
-        return pd.Series(np.concatenate([shared.value.scores([t or "" for t in p], memory) for p in parts]) if parts else [], dtype=float)
+        found = [shared.value.scores([t or "" for t in p], memory) for p in parts]
+        del memory
+        give_back()
+        return pd.Series(np.concatenate(found) if found else [], dtype=float)
 
     found = fresh(docs, "found")
     out = docs.withColumn(found, look.asNondeterministic()("text"))

@@ -56,3 +56,22 @@ def test_held_out_rows_teach_nothing(spark):
     held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 0]
     rows = [(i, "only words of one kind", "zz" if i in held else "en", "s", 0) for i in range(400)]
     assert language.train(spark.createDataFrame(rows, DOCS)).members == {"germanic": ["en"]}
+
+
+def test_numerals_are_no_letters(spark):
+    model = language.LanguageModel(["a"], np.zeros((1, language.SIZE), np.float32), np.zeros(1), {"a": ["en"]}, {"a": []})
+    texts = ["½ ² ①", "Ⅷ 3 ٣", "", None, "½ a", "ª"]
+    assert [lang for lang, _ in model.predict(texts)] == ["und"] * 4 + ["en"] * 2
+    judged = language.identify(spark.createDataFrame([(t,) for t in texts], "text string"), model).toPandas()
+    letters = spark.createDataFrame([(t,) for t in texts], "text string").selectExpr(r"coalesce(text rlike '\\p{L}', false) AS l").toPandas()
+    assert (judged["lang_pred"] != "und").tolist() == letters["l"].tolist()
+
+
+def test_least_score_passes_taught_languages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = language.train(docs)
+    assert 0 < model.least < 0.5
+    right = language.identify(docs.where("lang is not null"), model).where("lang_pred = lang")
+    assert right.where(right["score"] < model.least).count() <= 0.002 * right.count()
+    foreign = spark.createDataFrame([(1, "Ω ж 語")], "doc_id long, text string")
+    assert language.accepted(foreign, model, 1.1).count() == 0

@@ -5,10 +5,11 @@ import numpy as np
 import pytest
 from llm_fixtures import FOLDER, read_table
 
+from shelfwise.llm import vectors
 from shelfwise.llm.components import components
 from shelfwise.llm.hnsw import Graph
 from shelfwise.llm.queries import LLM_CATALOG
-from shelfwise.llm.vectors import audited_search, cosines, near_vectors, unit
+from shelfwise.llm.vectors import BEAM, MARGIN, audited_search, compared, cosines, near_vectors, pair_marks, searched, unit
 
 SCHEMA = "vec_id long, embedding array<float>, label int, extra string"
 
@@ -94,18 +95,49 @@ def unlinked(n=3000, far=25):
     return graph, points
 
 
-def test_every_query_is_audited():
-    graph, points = unlinked()
-    found = audited_search(graph, points, 0.98)
-    truth = points @ points.T >= 0.98
-    assert [i for i, own in enumerate(found) if np.setdiff1d(np.flatnonzero(truth[i]), own).size] == []
+def directed(found):
+    return {(i, int(j)) for i, own in enumerate(found) for j in own}
+
+
+def test_graph_finds_links_of_groups_of_any_size():
+    """Groups of 1 to 300: what the graph alone finds, counted from either end, is nearly every link."""
+    rng = np.random.default_rng(11)
+    sizes = [1] * 600 + [2] * 100 + [5] * 40 + [20] * 10 + [100] * 3 + [300]
+    points = np.concatenate([rng.normal(size=(1, 32)) + 0.01 * rng.normal(size=(n, 32)) for n in sizes])
+    points = unit(points[rng.permutation(len(points))]).astype(np.float32)
+    graph = Graph.load(Graph(points).dump())
+    floor = 0.98 - MARGIN
+    found, true = directed(searched(graph, points, floor, BEAM)), directed(compared(graph, points, floor))
+    assert found <= true
+    assert len(found) >= 0.999 * len(true)
+    assert len(true - found - {(j, i) for i, j in found}) <= 1e-4 * len(true)
 
 
-def test_links_are_found_from_both_ends():
+def test_links_missed_from_one_end_are_told_by_marks():
     graph, points = unlinked()
-    found = audited_search(graph, points, 0.98)
-    links = {(i, int(j)) for i, own in enumerate(found) for j in own}
-    assert links == {(j, i) for i, j in links}
+    floor = 0.98 - MARGIN
+    found, true = searched(graph, points, floor, BEAM), compared(graph, points, floor)
+    out, into = np.zeros(len(points), np.int64), np.zeros(len(points), np.int64)
+    for i, own in enumerate(found):
+        own = own[own != i]
+        out[i] = np.bitwise_xor.reduce(pair_marks(i, own), initial=0)
+        into[own] ^= pair_marks(i, own)
+    short = [i for i, (own, all_) in enumerate(zip(found, true)) if set(all_) - set(own) - {i}]
+    assert short and set(short) <= set(np.flatnonzero(out != into))
+
+
+def test_failed_audits_widen_beams_and_end_in_comparison():
+    graph, points = unlinked(600, far=100)
+    true = compared(graph, points, 0.98 - MARGIN)
+    assert [own.tolist() for own in audited_search(graph, points, 0.98)] == [own.tolist() for own in true]
+
+
+def test_missed_links_are_counted_from_both_ends(spark, monkeypatch):
+    """A search that sees links from their larger end only still gives every count."""
+    rows = clusters(200)
+    blind = lambda graph, queries, least: [own[own < i] for i, own in enumerate(compared(graph, queries, least - MARGIN))]
+    monkeypatch.setattr(vectors, "audited_search", blind)
+    assert rows_of(near_vectors(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA))) == plainly(rows)
 
 
 def test_cosines_are_equal_from_both_ends():
@@ -120,10 +152,7 @@ def test_cosines_are_equal_from_both_ends():
 def test_queries_with_more_links_than_a_beam():
     rng = np.random.default_rng(6)
     points = unit(np.concatenate([rng.normal(size=(4500, 16)), rng.normal(size=(1, 16)) + 0.01 * rng.normal(size=(150, 16))])).astype(np.float32)
-    graph = Graph(points)
-    for table in graph.links:
-        table[table >= 4600] = -1
-    found = audited_search(graph, points, 0.98)
+    found = searched(Graph(points), points, 0.98 - MARGIN, BEAM)
     assert all(np.isin(np.arange(4500, 4650), own).all() for own in found[4500:])
 
 
