@@ -3,7 +3,7 @@
 Each stage takes the session, the documents that the stage before kept, and the folder of the tables, and gives the
 documents that go on (the last one: the pieces of the packed sequences). Rules that reject a document:
 
-* language: the text is null or has no letter, so that no language can be told (the classifier has no say in it);
+* language: the text is null or has no letter, or scores less than the model asks of a text in a language it was taught;
 * toxicity: the classifier, taught by the labels of the folder, scores 0.5 or more;
 * near duplicates: another document of its class has a smaller doc_id;
 * mixture: none; documents of sources below their target weight are drawn again, those beyond it up to their budget.
