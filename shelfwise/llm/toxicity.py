@@ -44,6 +44,8 @@ ROUNDS = 10
 #: Correlation of two voters within a class from which they count as one group.
 CORRELATED = 0.5
 BUCKETS = 4096
+#: Sums of the label model that are added up and sent together.
+SLICE = 8192
 #: Words remembered while a batch is worked on.
 REMEMBERED = 50_000
 
@@ -228,13 +230,20 @@ def _moments(patterns: DataFrame, voters: int, model: LabelModel | None, *, pair
                     total[c, 2 : 2 + voters] += share @ fired
                     if pairs:
                         total[c, 2 + voters :] += (fired.T @ (fired * share[:, None])).ravel()
-        yield pd.DataFrame({"sums": [total.ravel().tolist()]})
+        flat = total.ravel()
+        at = range(0, len(flat), SLICE)
+        yield pd.DataFrame({"at": list(at), "sums": [flat[a : a + SLICE].tobytes() for a in at]})
 
-    parts = patterns.select("fired", "toxic", "n").mapInPandas(run, "sums array<double>")
-    summed = parts.select(F.posexplode("sums").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x"))
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"at": rows["at"].iloc[:1], "sums": [np.sum([np.frombuffer(x) for x in rows["sums"]], axis=0).tobytes()]})
+
+    parts = patterns.select("fired", "toxic", "n").mapInPandas(run, "at long, sums binary")
+    summed = parts.groupBy("at").applyInPandas(add, "at long, sums binary")
+    # Eight bytes for each pair of voters and class come to the driver, as they are.
     flat = np.zeros(2 * width)
-    for r in summed.collect():
-        flat[r["at"]] = r["x"]
+    for r in summed.toLocalIterator():
+        own = np.frombuffer(r["sums"])
+        flat[r["at"] : r["at"] + len(own)] = own
     return list(flat.reshape(2, width))
 
 
