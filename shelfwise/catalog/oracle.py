@@ -591,6 +591,19 @@ SELECT count(*) AS n, round(max(abs(y - back)), 6) AS max_abs_diff, round(max(ab
         _featured("capped", "transformed"),
         f"wide AS (SELECT * REPLACE ({', '.join(_ordinal(c) for c in R.ordinal)}), {', '.join(BLOCKS)} FROM transformed)",
     ),
+    "ridge_cv_one_feature": f"""WITH {SALES},
+d AS (SELECT (l_orderkey + 3 * l_partkey + l_linenumber) % 5 AS fold, {R.price} AS x, {Y} AS y FROM sales WHERE {R.price} IS NOT NULL),
+fits AS (SELECT alpha, fold, my - w * mx AS b, w FROM (
+  SELECT alpha, f.fold, avg(x) AS mx, avg(y) AS my, covar_pop(y, x) * count(*) / (var_pop(x) * count(*) + alpha) AS w
+  FROM (SELECT DISTINCT fold FROM d) f JOIN d ON d.fold <> f.fold, (VALUES (0.1), (1.0), (10.0), (100.0)) a(alpha)
+  GROUP BY alpha, f.fold))
+SELECT CAST(alpha AS DOUBLE) AS alpha, CAST(fold AS INT) AS fold, round(any_value(w), 5) AS coefficient,
+  round(any_value(b), 5) AS intercept, round(avg((y - b - w * x) * (y - b - w * x)), 1) AS mse
+FROM fits JOIN d USING (fold) GROUP BY alpha, fold""",
+    "best_of_fixed_members": f"""WITH {SALES},
+d AS (SELECT {Y} AS y, 0.9 * {Y} + 100.0 AS p FROM sales WHERE {HELD_OUT}),
+m AS (SELECT 'rf' AS model, y, p AS q FROM d UNION ALL SELECT 'gbt', y, 0.8 * y + 10.0 FROM d UNION ALL SELECT 'ridge', y, 0.5 * p FROM d)
+SELECT model, round(1 - avg((y - q) * (y - q)) / var_pop(y), 6) AS r2 FROM m GROUP BY model ORDER BY 2 DESC LIMIT 1""",
     "split_counts": f"WITH {SALES} SELECT CASE WHEN {HELD_OUT} THEN 'test' ELSE 'train' END AS split, count(*) AS n FROM sales GROUP BY 1",
     "regression_metrics": on_predicted(
         _metrics("real", Y, "p", "predicted") + " UNION ALL " + _metrics("scaled", "sy", "sp", "scaled"),

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from shelfwise.config import RETAIL as R
 from shelfwise.operators import categories as cat
 from shelfwise.operators import evaluate as ev
-from shelfwise.operators import plots, regress, target
+from shelfwise.operators import gram, plots, regress, target
 from shelfwise.operators import prepare as prep
 from shelfwise.operators import profile as prof
 from shelfwise.operators.preparer import TablePreparer, TablePreparerModel, mean_levels, size_cube, size_levels
@@ -526,14 +526,14 @@ def ensemble_combine(spark, folder):
 # --- models ---------------------------------------------------------------------------------------------------------
 
 
-def trained(spark: SparkSession, folder: str) -> SalesModel:
+def trained(spark: SparkSession, folder: str, only: list[str] | None = None) -> SalesModel:
     """A training run with the library's settings; every query does its own, on the tables as they are."""
-    trainer = SalesTrainer(keys=SALES_KEYS, tune=False, test_rule=HELD_OUT)
+    trainer = SalesTrainer(keys=SALES_KEYS, tune=False, test_rule=HELD_OUT, only=only)
     return trainer.fit(read_sales(spark, folder, keys=True))
 
 
 def _member_scores(spark, folder, name):
-    return trained(spark, folder).metrics().where(F.col("model") == name)
+    return trained(spark, folder, [name]).metrics().where(F.col("model") == name)
 
 
 @query
@@ -584,15 +584,32 @@ def train_summary(spark, folder):
 
 @query
 def cv_results(spark, folder):
-    """Five-fold search over the whole grids: 27 points of the forest, 243 of boosting, 4 of ridge."""
-    model = trained(spark, folder)
-    # 1370 fits read these features, so they are stored rather than prepared again each time.
-    training = read_sales(spark, folder, keys=True).where(f"NOT ({HELD_OUT})")
-    folded = regress.with_fold(training, SALES_KEYS)
-    prepared = materialize(model.preparer.transform(folded))
-    ready = regress.assemble(prepared, model.preparer.feature_names).select("features", SCALED, "fold")
-    rows = []
-    for name, estimator in regress.default_members(SCALED).items():
-        _, scores = regress.tune(estimator, regress.DEFAULT_GRIDS[name], ready)
-        rows += [(name, ", ".join(f"{k}={v}" for k, v in p.items()), float(error)) for p, error in scores]
+    """Five-fold search over the whole ridge grid, on all prepared features of the training rows."""
+    fitted, prepared = SalesTrainer(keys=SALES_KEYS, test_rule=HELD_OUT).prepare(read_sales(spark, folder, keys=True))
+    ready = regress.assemble(prepared.where("NOT is_test"), fitted.feature_names)
+    scores = regress.search(regress.ridge(SCALED), regress.RIDGE_GRID, ready)
+    rows = [("ridge", ", ".join(f"{k}={v}" for k, v in p.items()), float(error)) for p, error in scores]
     return spark.createDataFrame(rows, "model string, params string, cv_mse double")
+
+
+@query
+def ridge_cv_one_feature(spark, folder):
+    """Every fit of a five-fold ridge search of sales by price: penalty, fold left out, coefficient, intercept, error there."""
+    df = read_sales(spark, folder, keys=True).where(F.col(R.price).isNotNull())
+    folded = df.withColumn("fold", ((F.col("l_orderkey") + 3 * F.col("l_partkey") + F.col("l_linenumber")) % 5).cast("int"))
+    grams = gram.fold_grams(regress.assemble(folded, [R.price]), R.target)
+    total, rows = gram.total_of(grams) if grams else None, []
+    for fold, own in sorted(grams.items()):
+        for alpha in regress.RIDGE_GRID["alpha"]:
+            w, intercept = (total - own).ridge(alpha)
+            rows.append((alpha, fold, float(w[0]), intercept, own.error(w, intercept)))
+    found = spark.createDataFrame(rows, "alpha double, fold int, coefficient double, intercept double, mse double")
+    return tidy(found, 5, mse=1)
+
+
+@query
+def best_of_fixed_members(spark, folder):
+    """The best of three made-up members on the held-out rows, by R2."""
+    df = predicted(spark, folder, keys=True).where(HELD_OUT)
+    members = {"rf": F.col("p"), "gbt": F.lit(0.8) * F.col(R.target) + 10.0, "ridge": F.lit(0.5) * F.col("p")}
+    return tidy(ev.best_model(ev.regression_metrics(df, R.target, members)), 6)

@@ -65,6 +65,14 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path below the shared folder, deleted with the scope that it is asked for in."""
+    path = f"{shared_folder(spark)}/shelfwise/{spark.sparkContext.applicationId}/{name}"
+    for written in _scopes:
+        written.append(path)
+    return path
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -72,8 +80,6 @@ def materialize(df: DataFrame) -> DataFrame:
     gives later joins a real size to plan with.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/shelfwise/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    for written in _scopes:
-        written.append(path)
+    path = scratch_path(spark, uuid.uuid4().hex)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

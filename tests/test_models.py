@@ -68,7 +68,7 @@ def test_folds_and_split_do_not_depend_on_partitioning(sales):
 
 def test_full_grids_have_their_published_size():
     sizes = {name: int(np.prod([len(v) for v in grid.values()])) for name, grid in regress.DEFAULT_GRIDS.items()}
-    assert sizes == {"rf": 27, "gbt": 243, "ridge": 4}
+    assert sizes == {"rf": 81, "gbt": 243, "ridge": 4}
 
 
 def test_ensemble_is_the_weighted_mean(model):
@@ -186,14 +186,27 @@ def test_model_queries_train_the_full_settings_on_the_tables_as_they_are(spark,
             assert {k: members[name].getOrDefault(k) for k in settings} == settings
 
 
-def test_cv_results_search_the_whole_grids(spark, folder, model, monkeypatch):
-    searched = {}
+def test_score_queries_train_one_member(spark, folder, monkeypatch):
+    runs = []
+
+    class Stopped(Exception):
+        pass
+
+    def fit(self, df):
+        runs.append(list(self.only))
+        raise Stopped
+
+    monkeypatch.setattr(catalog.SalesTrainer, "fit", fit)
+    for name in ("rf", "gbt", "ridge"):
+        with pytest.raises(Stopped):
+            catalog.CATALOG[f"{name}_scores"](spark, folder)
+    assert runs == [["rf"], ["gbt"], ["ridge"]]
 
-    def tune(estimator, grid, train):
-        searched[estimator.getPredictionCol()] = grid
-        return None, [({"point": 1}, 0.5)]
 
-    monkeypatch.setattr(catalog, "trained", lambda *_: model)
-    monkeypatch.setattr(catalog.regress, "tune", tune)
-    assert catalog.cv_results(spark, folder).count() == 3
-    assert searched == {f"pred_{name}": grid for name, grid in regress.DEFAULT_GRIDS.items()}
+def test_cv_results_equal_separate_fits(spark, folder):
+    got = {r["params"]: r["cv_mse"] for r in catalog.cv_results(spark, folder).collect()}
+    assert list(got) == [f"alpha={a}" for a in regress.RIDGE_GRID["alpha"]]
+    fitted, prepared = SalesTrainer(keys=SALES_KEYS, test_rule=catalog.HELD_OUT).prepare(read_sales(spark, folder, keys=True))
+    ready = regress.assemble(prepared.where("NOT is_test"), fitted.feature_names)
+    _, scores = regress.tune(regress.ridge(SCALED), {"alpha": [1.0]}, ready)
+    assert got["alpha=1.0"] == pytest.approx(scores[0][1], rel=1e-9)
