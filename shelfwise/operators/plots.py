@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import normal_quantile
 from shelfwise.operators.categories import labels_long
-from shelfwise.operators.lookup import attach, store_lookup
-from shelfwise.operators.quantiles import exact_quantiles
+from shelfwise.operators.quantiles import exact_boxes
 from shelfwise.operators.ranks import running_totals
 from shelfwise.session import materialize
 
@@ -56,37 +55,16 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int, *, log: bool = F
 
 def box_stats(df: DataFrame, target: str, by: Sequence[str] = (), *, width: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (the most extreme values within ``width`` IQR of the box) and fliers per group."""
-    by = list(by)
-    quartiles = exact_quantiles(df, by, target, [0.25, 0.5, 0.75])
-    q = F.col("q")
-    boxes = quartiles.where("n > 0").select(
-        *by, F.col("n"), q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3")
-    )
-    values = df.where(F.col(target).isNotNull()).select(*by, F.col(target).cast("double").alias("_y"))
-    if by:
-        values = attach(values, store_lookup(boxes.withColumn("_n", F.col("n")), by, stored=True))
-    else:
-        box = boxes.first()
-        fixed = box.asDict() if box else dict.fromkeys(boxes.columns)
-        values = values.withColumns(
-            {c: F.lit(fixed[c]).cast("long" if c == "n" else "double") for c in boxes.columns}
-        )
-    y, reach = F.col("_y"), (F.col("q3") - F.col("q1")) * width
-    near_low, near_high = y >= F.col("q1") - reach, y <= F.col("q3") + reach
-    out = values.groupBy(*by, "n", "q1", "median", "q3").agg(
-        F.min(F.when(near_low, y)).alias("_low"),
-        F.max(F.when(near_high, y)).alias("_high"),
-        F.count_if(~near_low | ~near_high).alias("flier_count"),
-    )
-    return out.select(
+    found = exact_boxes(df, list(by), target, width=width).where("n > 0")
+    return found.select(
         *by,
         "n",
-        F.least("_low", "q1").alias("whisker_low"),
+        F.least("low", "q1").alias("whisker_low"),
         "q1",
         "median",
         "q3",
-        F.greatest("_high", "q3").alias("whisker_high"),
-        "flier_count",
+        F.greatest("high", "q3").alias("whisker_high"),
+        F.col("outside").alias("flier_count"),
     )
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from shelfwise.config import Roles
 from shelfwise.functions.scalars import pearson, ratio
 from shelfwise.operators.categories import between_group_cv, cardinality
-from shelfwise.operators.quantiles import exact_quantiles
+from shelfwise.operators.lookup import attach, store_lookup
+from shelfwise.operators.quantiles import exact_boxes, exact_quantiles
 
 
 def to_rows(one_row: DataFrame, rows: Sequence[dict[str, Column]]) -> DataFrame:
@@ -101,17 +102,19 @@ def iqr_outlier_rows(df: DataFrame, column: str, width: float = 1.5) -> DataFram
 
 def iqr_outliers(df: DataFrame, column: str, width: float = 1.5) -> DataFrame:
     """Quartiles, fences, and how many rows fall outside."""
-    q1, q3, low, high = iqr_fences(df, column, width) or (None,) * 4
-    number = [F.lit(x).cast("double") for x in (q1, q3, low, high)]
-    outside = F.count_if((F.col(column) < number[2]) | (F.col(column) > number[3]))
-    return df.agg(outside.alias("outlier_count"), F.count(F.lit(1)).alias("_rows")).select(
-        number[0].alias("q1"),
-        number[1].alias("q3"),
-        (number[1] - number[0]).alias("iqr"),
-        number[2].alias("lower_bound"),
-        number[3].alias("upper_bound"),
-        "outlier_count",
-        ratio(F.col("outlier_count") * 100.0, F.col("_rows")).alias("outlier_pct"),
+    box = exact_boxes(df, [], column, width=width).first()
+    found = box.asDict() if box else {"rows": 0, "q1": None, "q3": None, "outside": 0}
+    number = {c: F.lit(found[c]).cast("double") for c in ("q1", "q3")}
+    iqr = number["q3"] - number["q1"]
+    outside = F.lit(found["outside"]).cast("long")
+    return df.sparkSession.range(1).select(
+        number["q1"].alias("q1"),
+        number["q3"].alias("q3"),
+        iqr.alias("iqr"),
+        (number["q1"] - iqr * width).alias("lower_bound"),
+        (number["q3"] + iqr * width).alias("upper_bound"),
+        outside.alias("outlier_count"),
+        ratio(outside * 100.0, F.lit(found["rows"]).cast("long")).alias("outlier_pct"),
     )
 
 
@@ -160,8 +163,18 @@ def top_correlated(df: DataFrame, features: Sequence[str], target: str) -> DataF
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row in every column (NULL equals NULL)."""
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    """Rows that repeat an earlier row in every column (NULL equals NULL).
+
+    The first scan counts 128-bit row hashes; only rows whose hash occurs again are then compared, and shuffled, whole.
+    Equal rows have equal hashes, so no repeat is missed, and unequal rows that share one are told apart.
+    """
+    hashed = df.withColumns({f"_hash{seed}": F.xxhash64(F.lit(seed), *df.columns) for seed in (0, 1)})
+    marks = ["_hash0", "_hash1"]
+    repeated = store_lookup(
+        hashed.groupBy(*marks).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").withColumn("_again", F.lit(True)), marks
+    )
+    again = attach(hashed, repeated).where("_again").drop(*marks, "_again")
+    copies = again.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
     return copies.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 

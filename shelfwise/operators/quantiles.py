@@ -11,6 +11,8 @@ Nothing here is approximate and nothing depends on the order in which tasks fini
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,17 +45,96 @@ def exact_quantiles(
     NULL values are ignored; a group of NULL values only has ``n`` = 0. Groups with a NULL key are left out.
     """
     keys, probs = list(keys), [float(p) for p in probs]
-    data = df.select(*keys, known(F.col(value).cast("double")).alias("_v"))
-    if keys:
-        data = data.dropna(subset=keys)
-    groups = materialize(_locate(_binned(data, keys, bins_per_e), keys, probs))
+    data = _valued(df, keys, value)
+    groups = materialize(_groups(_placed(_binned(data, keys, bins_per_e), keys, probs), keys))
 
     # Every entry of ``bins`` holds wanted ranks. Bins with lo = hi are settled, the others need a second look.
     todo = groups.select(*keys, "n", F.explode("bins").alias("b")).where("b.lo < b.hi").select(
         *keys, "n", F.col("b.bin").alias("_bin"), F.col("b.before").alias("before"), F.col("b.c").alias("_n")
     )
+    counted = None if todo.isEmpty() else _counted(data, keys, bins_per_e, todo)
+    found = _read_off(groups, keys, probs, counted)
+    return found.select(*keys, "n", "sum", "mean", "std", "std_pop", "min", "max", "q")
+
+
+def exact_boxes(
+    df: DataFrame, keys: Sequence[str], value: str, *, width: float = 1.5, bins_per_e: int = BINS_PER_E
+) -> DataFrame:
+    """One row per group: ``keys``, ``rows`` (missing values included), ``n``, ``q1``, ``median``, ``q3``, ``low`` and ``high``
+    (the most extreme values within ``width`` times the box of it) and ``outside`` (how many lie beyond).
+
+    Two scans. The first tells between which values each quartile, and so each fence, must lie. A bin that lies wholly on
+    one side of all that a fence can be is settled by its ends and count; the second scan counts the values of the few
+    other bins together with those of the bins that hold the quartiles.
+
+    NULL values are ignored. Groups with a NULL key are left out, and a frame without rows has no group at all.
+    """
+    asked, probs = list(keys), [0.25, 0.5, 0.75]
+    keys = asked or ["_all"]
+    data = _valued(df if asked else df.withColumn("_all", F.lit(0)), keys, value)
+    placed = materialize(_placed(_binned(data, keys, bins_per_e), keys, probs))
+    groups = materialize(_groups(placed, keys))
+
+    def end(prob: float, rank: str, side: str) -> Column:
+        return F.expr(f"get(filter(bins, b -> array_contains(b.hits, {rank}({prob}D * (n - 1)))), 0).{side}")
+
+    ends = groups.where("n > 0").select(
+        *keys, end(0.25, "floor", "lo").alias("a1"), end(0.25, "ceil", "hi").alias("b1"),
+        end(0.75, "floor", "lo").alias("a3"), end(0.75, "ceil", "hi").alias("b3"),
+    )
+    a1, b1, a3, b3 = (F.col(c) for c in ("a1", "b1", "a3", "b3"))
+    rounding = (F.abs(a1) + F.abs(b1) + F.abs(a3) + F.abs(b3)) * (1e-9 * (1.0 + width))
+    limits = ends.select(
+        *keys,
+        (a1 - (b3 - a1) * width - rounding).alias("low_least"),
+        (b1 - (a3 - b1) * width + rounding).alias("low_most"),
+        (a3 + (a3 - b1) * width - rounding).alias("high_least"),
+        (b3 + (b3 - a1) * width + rounding).alias("high_most"),
+    )
+    lo, hi = F.col("lo"), F.col("hi")
+    names = ("low_least", "low_most", "high_least", "high_most")
+    unsure = reduce(or_, [F.isnan(c) for c in names])  # fences of infinite values
+    inside = (lo >= F.col("low_most")) & (hi <= F.col("high_least"))
+    settled = ~unsure & (inside | (hi < F.col("low_least")) | (lo > F.col("high_most")))
+    wanted = F.size("hits") > 0
+    marked = materialize(
+        placed.where("c > 0").join(limits, keys).withColumns({"wanted": wanted, "look": (lo < hi) & (wanted | ~settled)}).drop(*names)
+    )
+    todo = marked.where("look").select(*keys, "n", "_bin", "before", "wanted", F.col("c").alias("_n"))
+    pieces, counted = marked.where("NOT look").select(*keys, "lo", "hi", "c"), None
     if not todo.isEmpty():
-        resolved = materialize(_resolve(data, keys, probs, bins_per_e, todo))
+        looked = materialize(_counted(data, keys, bins_per_e, todo))
+        pieces = pieces.unionByName(looked.select(*keys, F.col("_v").alias("lo"), F.col("_v").alias("hi"), "c"))
+        counted = looked.where("wanted").drop("wanted")
+
+    q = F.col("q")
+    boxes = store_lookup(
+        _read_off(groups, keys, probs, counted).select(
+            *keys, "rows", "n", q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"), F.col("n").alias("_n")
+        ),
+        keys,
+    )
+    reach = (F.col("q3") - F.col("q1")) * width
+    near_low, near_high = lo >= F.col("q1") - reach, hi <= F.col("q3") + reach
+    beyond = attach(pieces, boxes).groupBy(*keys).agg(
+        F.min(F.when(near_low, lo)).alias("low"),
+        F.max(F.when(near_high, hi)).alias("high"),
+        F.sum(F.when(~near_low | ~near_high, F.col("c")).otherwise(0)).alias("outside"),
+    )
+    return boxes.table.drop("_n").join(beyond, keys, "left").select(
+        *asked, "rows", "n", "q1", "median", "q3", "low", "high", F.coalesce("outside", F.lit(0)).cast("long").alias("outside")
+    )
+
+
+def _valued(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    data = df.select(*keys, known(F.col(value).cast("double")).alias("_v"))
+    return data.dropna(subset=keys) if keys else data
+
+
+def _read_off(groups: DataFrame, keys: list[str], probs: list[float], counted: DataFrame | None) -> DataFrame:
+    """Adds ``q`` to the groups, from the bins with a single value and the values of the bins that were looked at."""
+    if counted is not None:
+        resolved = materialize(_resolve(counted, keys, probs))
         groups = groups.join(resolved, keys, "left") if keys else groups.withColumn("found", resolved.scalar())
     else:
         groups = groups.withColumn("found", F.expr("cast(array() AS array<struct<hits:array<bigint>,v:double>>)"))
@@ -70,7 +151,7 @@ def exact_quantiles(
     q = F.expr(
         f"CASE WHEN n > 0 THEN transform({ends}, e -> CASE WHEN e.a = e.b THEN e.a ELSE e.a + (e.b - e.a) * e.part END) END"
     )
-    return groups.select(*keys, "n", "sum", "mean", "std", "std_pop", "min", "max", q.alias("q"))
+    return groups.withColumn("q", q)
 
 
 def _numbers(probs: Sequence[float]) -> str:
@@ -87,6 +168,7 @@ def _binned(data: DataFrame, keys: list[str], bins_per_e: int) -> DataFrame:
     """Scan 1. Rows with a NULL value form a bin of their own, which keeps their group in the result."""
     v = F.col("_v")
     return data.groupBy(*keys, coarse_bin(v, bins_per_e).alias("_bin")).agg(
+        F.count(F.lit(1)).alias("rows"),
         F.count(v).alias("c"),
         F.sum(v).alias("s"),
         F.var_pop(v).alias("var"),
@@ -95,22 +177,27 @@ def _binned(data: DataFrame, keys: list[str], bins_per_e: int) -> DataFrame:
     )
 
 
-def _locate(bins: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
-    """Moments per group and the bins that hold wanted ranks. Windows and lists here span bins, never rows."""
+def _placed(bins: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Bins with the values before them and the wanted ranks they hold. Windows span bins, never rows."""
     group = Window.partitionBy(*keys)
     running = group.orderBy(F.col("lo").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
-    placed = (
+    return (
         bins.withColumns(
             {"n": F.sum("c").over(group), "total": F.sum("s").over(group), "end": F.sum("c").over(running)}
         )
         .withColumn("before", F.col("end") - F.col("c"))
         .withColumn("hits", _hits(probs, "before", "end"))
     )
+
+
+def _groups(placed: DataFrame, keys: list[str]) -> DataFrame:
+    """Moments per group and the bins that hold wanted ranks. Lists here span bins, never rows."""
     mean = F.try_divide(F.col("total"), F.col("n"))
     from_mean = F.try_divide(F.col("s"), F.col("c")) - mean
     return (
         placed.groupBy(*keys)
         .agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
             F.coalesce(F.max("n"), F.lit(0)).alias("n"),
             F.max("total").alias("sum"),
             F.max(mean).alias("mean"),
@@ -125,20 +212,23 @@ def _locate(bins: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
     )
 
 
-def _resolve(
-    data: DataFrame, keys: list[str], probs: list[float], bins_per_e: int, todo: DataFrame
-) -> DataFrame:
-    """Scan 2: the values at the wanted ranks that lie in bins holding more than one value.
+def _counted(data: DataFrame, keys: list[str], bins_per_e: int, todo: DataFrame) -> DataFrame:
+    """Scan 2: how often each value of the bins in ``todo`` occurs, with what ``todo`` says of its bin.
 
     Values find their bin by its label, one probe per row; the label also splits a large group over many join keys.
     """
     binned = data.withColumn("_bin", coarse_bin(F.col("_v"), bins_per_e))
-    counted = (
+    carried = [c for c in todo.columns if c not in (*keys, "_bin", "_n")]
+    return (
         attach(binned, store_lookup(todo, [*keys, "_bin"], stored=True))
         .where(F.col("before").isNotNull())
-        .groupBy(*keys, "n", "before", "_v")
+        .groupBy(*keys, *carried, "_v")
         .agg(F.count(F.lit(1)).alias("c"))
     )
+
+
+def _resolve(counted: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """The values at the wanted ranks that lie in bins holding more than one value."""
     ranked = running_totals(counted, [*keys, "n", "before"], [F.col("_v").asc()], "c")
     hits = _hits(probs, "before + start", "before + end")
     return (

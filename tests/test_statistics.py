@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from shelfwise.functions.ftest import f_upper_tail
 from shelfwise.functions.scalars import normal_quantile
 from shelfwise.operators import categories as cat
+from shelfwise.operators import lookup
 from shelfwise.operators import plots
 from shelfwise.operators import profile as prof
-from shelfwise.operators.quantiles import exact_quantiles
+from shelfwise.operators.quantiles import exact_boxes, exact_quantiles
 
 PROBS = [0.0, 0.2, 0.25, 0.5, 0.75, 0.9, 1.0]
 
@@ -215,3 +216,62 @@ def test_pivot_refuses_too_many_labels(spark):
     df = spark.createDataFrame([("r", str(i), 1.0) for i in range(5)], "r string, c string, y double")
     with pytest.raises(ValueError, match="more than 3"):
         cat.pivot_mean(df, "r", "c", "y", max_labels=3)
+
+
+@pytest.mark.parametrize("bins_per_e", [64, 1])
+def test_boxes_match_pandas(spark, bins_per_e):
+    """Fences cut bins, in coarse bins nearly all of them; a third of the rows in one group."""
+    frame = skewed()
+    got = exact_boxes(spark.createDataFrame(frame).repartition(7), ["k"], "v", bins_per_e=bins_per_e).toPandas().set_index("k")
+    assert set(got.index) == set(frame["k"])
+    for k, values in frame.groupby("k")["v"]:
+        q1, median, q3 = values.quantile([0.25, 0.5, 0.75])
+        low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        expected = [len(values), values.count(), q1, median, q3, values[values >= low].min(), values[values <= high].max()]
+        np.testing.assert_allclose(got.loc[k, ["rows", "n", "q1", "median", "q3", "low", "high"]].astype(float), expected, rtol=1e-12)
+        assert got.loc[k, "outside"] == ((values < low) | (values > high)).sum()
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.floats(-100, 100), st.sampled_from([0.0, 1.0, 1e9])), min_size=1, max_size=40))
+def test_global_box_matches_numpy(spark, values):
+    row = exact_boxes(spark.createDataFrame([(v,) for v in values], "v double").repartition(3), [], "v").first()
+    present = np.array([v for v in values if v is not None])
+    assert (row["rows"], row["n"]) == (len(values), len(present))
+    if len(present):
+        low, high = row["q1"] - 1.5 * (row["q3"] - row["q1"]), row["q3"] + 1.5 * (row["q3"] - row["q1"])
+        assert row["outside"] == ((present < low) | (present > high)).sum()
+        np.testing.assert_allclose([row["q1"], row["median"], row["q3"]], np.quantile(present, [0.25, 0.5, 0.75]), rtol=1e-12, atol=1e-300)
+
+
+def test_boxes_scan_the_rows_twice(spark, tmp_path):
+    """Counted where the rows are read: no third pass looks for whiskers."""
+    frame, reads = skewed(), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    df = spark.createDataFrame(frame).mapInPandas(counted, "k string, v double")
+    plots.box_stats(df, "v", ["k"]).collect()
+    assert reads.value == 2 * len(frame)
+
+
+def test_outliers_of_no_rows_and_of_missing_values(spark):
+    empty = spark.createDataFrame([], "v double")
+    assert prof.iqr_outliers(empty, "v").first()["outlier_count"] == 0
+    gaps = prof.iqr_outliers(spark.createDataFrame([(None,), (None,)], "v double"), "v").first()
+    assert (gaps["q1"], gaps["outlier_count"], gaps["outlier_pct"]) == (None, 0, 0.0)
+    assert plots.box_stats(empty, "v").count() == 0
+
+
+def test_duplicates_are_compared_whole_only_where_a_hash_repeats(spark, monkeypatch):
+    rows = [(i, "x" if i % 3 else None) for i in range(300)] + [(1, "x")] * 200 + [(None, None)] * 5
+    df = spark.createDataFrame(rows, "a int, b string").repartition(5)
+    expected = len(rows) - len(set(rows))
+    assert prof.duplicate_rows(df).first()[0] == expected
+    # Hashes skip NULLs, so these two rows share one and must be told apart by their columns.
+    assert prof.duplicate_rows(spark.createDataFrame([("a", None), (None, "a")], "a string, b string")).first()[0] == 0
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)  # repeats too many to broadcast, one of them hot
+    assert prof.duplicate_rows(df).first()[0] == expected
