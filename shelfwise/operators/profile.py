@@ -173,6 +173,8 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     repeated = store_lookup(
         hashed.groupBy(*marks).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").withColumn("_again", F.lit(True)), marks
     )
+    if not repeated.total:
+        return df.sparkSession.range(1).select(F.lit(0).cast("long").alias("duplicate_rows"))
     again = attach(hashed, repeated).where("_again").drop(*marks, "_again")
     copies = again.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
     return copies.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))

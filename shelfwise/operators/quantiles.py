@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.scalars import known
-from shelfwise.operators.lookup import attach, store_lookup
+from shelfwise.operators.lookup import Lookup, attach, store_lookup
 from shelfwise.operators.ranks import running_totals
 from shelfwise.session import materialize
 
@@ -52,8 +52,11 @@ def exact_quantiles(
     todo = groups.select(*keys, "n", F.explode("bins").alias("b")).where("b.lo < b.hi").select(
         *keys, "n", F.col("b.bin").alias("_bin"), F.col("b.before").alias("before"), F.col("b.c").alias("_n")
     )
-    counted = None if todo.isEmpty() else _counted(data, keys, bins_per_e, todo)
-    found = _read_off(groups, keys, probs, counted)
+    resolved = None
+    if not todo.isEmpty():
+        asked = store_lookup(todo, [*keys, "_bin"], stored=True)
+        resolved = materialize(_resolve(_counted(data, asked, bins_per_e), keys, probs))
+    found = _read_off(groups, keys, probs, resolved)
     return found.select(*keys, "n", "sum", "mean", "std", "std_pop", "min", "max", "q")
 
 
@@ -72,44 +75,42 @@ def exact_boxes(
     asked, probs = list(keys), [0.25, 0.5, 0.75]
     keys = asked or ["_all"]
     data = _valued(df if asked else df.withColumn("_all", F.lit(0)), keys, value)
-    placed = materialize(_placed(_binned(data, keys, bins_per_e), keys, probs))
-    groups = materialize(_groups(placed, keys))
+    placed = _placed(_binned(data, keys, bins_per_e), keys, probs)
+    group = Window.partitionBy(*keys)
 
     def end(prob: float, rank: str, side: str) -> Column:
-        return F.expr(f"get(filter(bins, b -> array_contains(b.hits, {rank}({prob}D * (n - 1)))), 0).{side}")
+        holds = F.expr(f"array_contains(hits, {rank}({prob}D * (n - 1)))")
+        return F.max(F.when(holds, F.col(side))).over(group)
 
-    ends = groups.where("n > 0").select(
-        *keys, end(0.25, "floor", "lo").alias("a1"), end(0.25, "ceil", "hi").alias("b1"),
-        end(0.75, "floor", "lo").alias("a3"), end(0.75, "ceil", "hi").alias("b3"),
-    )
-    a1, b1, a3, b3 = (F.col(c) for c in ("a1", "b1", "a3", "b3"))
+    # The first quartile lies from a1 to b1, the third from a3 to b3.
+    a1, b1 = end(0.25, "floor", "lo"), end(0.25, "ceil", "hi")
+    a3, b3 = end(0.75, "floor", "lo"), end(0.75, "ceil", "hi")
     rounding = (F.abs(a1) + F.abs(b1) + F.abs(a3) + F.abs(b3)) * (1e-9 * (1.0 + width))
-    limits = ends.select(
-        *keys,
-        (a1 - (b3 - a1) * width - rounding).alias("low_least"),
-        (b1 - (a3 - b1) * width + rounding).alias("low_most"),
-        (a3 + (a3 - b1) * width - rounding).alias("high_least"),
-        (b3 + (b3 - a1) * width + rounding).alias("high_most"),
-    )
+    limits = {
+        "low_least": a1 - (b3 - a1) * width - rounding,
+        "low_most": b1 - (a3 - b1) * width + rounding,
+        "high_least": a3 + (a3 - b1) * width - rounding,
+        "high_most": b3 + (b3 - a1) * width + rounding,
+    }
     lo, hi = F.col("lo"), F.col("hi")
-    names = ("low_least", "low_most", "high_least", "high_most")
-    unsure = reduce(or_, [F.isnan(c) for c in names])  # fences of infinite values
+    unsure = reduce(or_, [F.isnan(c) for c in limits])  # fences of infinite values
     inside = (lo >= F.col("low_most")) & (hi <= F.col("high_least"))
     settled = ~unsure & (inside | (hi < F.col("low_least")) | (lo > F.col("high_most")))
     wanted = F.size("hits") > 0
-    marked = materialize(
-        placed.where("c > 0").join(limits, keys).withColumns({"wanted": wanted, "look": (lo < hi) & (wanted | ~settled)}).drop(*names)
-    )
+    marked = placed.withColumns(limits).withColumns({"wanted": wanted, "look": (lo < hi) & (wanted | ~settled)})
+    marked = materialize(marked.drop(*limits))
+
     todo = marked.where("look").select(*keys, "n", "_bin", "before", "wanted", F.col("c").alias("_n"))
-    pieces, counted = marked.where("NOT look").select(*keys, "lo", "hi", "c"), None
-    if not todo.isEmpty():
-        looked = materialize(_counted(data, keys, bins_per_e, todo))
+    asked_bins = store_lookup(todo, [*keys, "_bin"], stored=True)
+    pieces, resolved = marked.where("c > 0 AND NOT look").select(*keys, "lo", "hi", "c"), None
+    if asked_bins.total:
+        looked = materialize(_counted(data, asked_bins, bins_per_e))
         pieces = pieces.unionByName(looked.select(*keys, F.col("_v").alias("lo"), F.col("_v").alias("hi"), "c"))
-        counted = looked.where("wanted").drop("wanted")
+        resolved = _resolve(looked.where("wanted").drop("wanted"), keys, probs)
 
     q = F.col("q")
     boxes = store_lookup(
-        _read_off(groups, keys, probs, counted).select(
+        _read_off(_groups(marked, keys), keys, probs, resolved).select(
             *keys, "rows", "n", q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"), F.col("n").alias("_n")
         ),
         keys,
@@ -131,10 +132,9 @@ def _valued(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return data.dropna(subset=keys) if keys else data
 
 
-def _read_off(groups: DataFrame, keys: list[str], probs: list[float], counted: DataFrame | None) -> DataFrame:
+def _read_off(groups: DataFrame, keys: list[str], probs: list[float], resolved: DataFrame | None) -> DataFrame:
     """Adds ``q`` to the groups, from the bins with a single value and the values of the bins that were looked at."""
-    if counted is not None:
-        resolved = materialize(_resolve(counted, keys, probs))
+    if resolved is not None:
         groups = groups.join(resolved, keys, "left") if keys else groups.withColumn("found", resolved.scalar())
     else:
         groups = groups.withColumn("found", F.expr("cast(array() AS array<struct<hits:array<bigint>,v:double>>)"))
@@ -212,17 +212,17 @@ def _groups(placed: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _counted(data: DataFrame, keys: list[str], bins_per_e: int, todo: DataFrame) -> DataFrame:
-    """Scan 2: how often each value of the bins in ``todo`` occurs, with what ``todo`` says of its bin.
+def _counted(data: DataFrame, asked: Lookup, bins_per_e: int) -> DataFrame:
+    """Scan 2: how often each value of the bins asked for occurs, with what is known of its bin.
 
     Values find their bin by its label, one probe per row; the label also splits a large group over many join keys.
     """
     binned = data.withColumn("_bin", coarse_bin(F.col("_v"), bins_per_e))
-    carried = [c for c in todo.columns if c not in (*keys, "_bin", "_n")]
+    keys = [k for k in asked.keys if k != "_bin"]
     return (
-        attach(binned, store_lookup(todo, [*keys, "_bin"], stored=True))
+        attach(binned, asked)
         .where(F.col("before").isNotNull())
-        .groupBy(*keys, *carried, "_v")
+        .groupBy(*keys, *asked.values, "_v")
         .agg(F.count(F.lit(1)).alias("c"))
     )
 
