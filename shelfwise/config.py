@@ -7,7 +7,7 @@ its columns here rather than by editing operators.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 
 @dataclass(frozen=True)
@@ -40,6 +40,16 @@ class Roles:
     outlet_encoding: str = "Outlet_Target_Encoded"
     passthrough: tuple[str, ...] = field(default=())
 
+    def as_dict(self) -> dict:
+        """As values that JSON can hold; :meth:`of_dict` reads them back."""
+        return asdict(self)
+
+    @classmethod
+    def of_dict(cls, values: Mapping) -> Roles:
+        tuples = {name: tuple(values[name]) for name in ("price_labels", "passthrough")}
+        order = {column: tuple(labels) for column, labels in values["label_order"].items()}
+        return cls(**{**values, **tuples, "label_order": order})
+
     @property
     def ids(self) -> list[str]:
         return [self.item, self.outlet]

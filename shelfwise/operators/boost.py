@@ -10,9 +10,11 @@ from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol, HasSeed, HasStepSize
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.operators.storage import Stored, load_stages, save_stages
 from shelfwise.session import materialize
 
 #: Rounds between two stores of the running prediction, which cut its lineage.
@@ -31,7 +33,7 @@ class _BoostParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasMaxIter, Ha
     leafPenalty = Param(Params._dummy(), "leafPenalty", "added to the rows of a leaf, which draws its value to zero", TypeConverters.toFloat)
 
 
-class ColumnBoosting(Estimator, _BoostParams):
+class ColumnBoosting(Estimator, _BoostParams, DefaultParamsWritable, DefaultParamsReadable):
     """Boosting for squared error.
 
     Each round draws ``columnShare`` of the columns and ``subsamplingRate`` of the rows (by a hash of round and row
@@ -101,7 +103,7 @@ def _stepped(df: DataFrame, tree: DecisionTreeRegressionModel, columns: Sequence
     return found.withColumn(prediction, F.col(prediction) + step).drop("seen", "grown", "leaf")
 
 
-class ColumnBoostingModel(Model, HasFeaturesCol, HasPredictionCol):
+class ColumnBoostingModel(Model, HasFeaturesCol, HasPredictionCol, Stored):
     """The start value and, for each round, its tree, its columns and the values of its leaves."""
 
     def __init__(self, start: float, steps, featuresCol="features", predictionCol="prediction"):
@@ -113,6 +115,15 @@ class ColumnBoostingModel(Model, HasFeaturesCol, HasPredictionCol):
         """The model as it was after so many rounds."""
         return ColumnBoostingModel(self.start, self.steps[:rounds], self.getFeaturesCol(), self.getPredictionCol())
 
+    def _save_state(self, path: str, spark: SparkSession) -> dict:
+        names = save_stages({f"{i:05d}": tree for i, (tree, _, _) in enumerate(self.steps)}, f"{path}/trees")
+        return {"start": self.start, "trees": names, "columns": [c for _, c, _ in self.steps], "leaves": [list(v.items()) for _, _, v in self.steps]}
+
+    @classmethod
+    def _load_state(cls, path: str, state: dict, spark: SparkSession) -> ColumnBoostingModel:
+        trees = load_stages(state["trees"], f"{path}/trees", spark).values()
+        return cls(state["start"], list(zip(trees, state["columns"], map(dict, state["leaves"]))))
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         out = dataset.withColumn(self.getPredictionCol(), F.lit(self.start))
         for tree, columns, values in self.steps:

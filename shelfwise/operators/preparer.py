@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
@@ -17,6 +16,7 @@ from shelfwise.config import RETAIL, Roles
 from shelfwise.operators import prepare as steps
 from shelfwise.operators.lookup import Lookup, store_lookup
 from shelfwise.operators.profile import numeric_columns
+from shelfwise.operators.storage import Stored
 from shelfwise.operators.target import TargetScale, learn_target_scale
 from shelfwise.session import materialize
 from shelfwise.sources.tables import clean_missing
@@ -78,7 +78,7 @@ def size_cube(df: DataFrame, roles: Roles, target: str | None = None) -> DataFra
     )
 
 
-class TablePreparer(Estimator, _PreparerParams):
+class TablePreparer(Estimator, _PreparerParams, Stored):
     """Learns the preparation of a sales table; see :class:`TablePreparerModel` for what it does to a frame.
 
     Bounds, band edges and scales are learned before capping while ``transform`` caps first, as in the pipeline this
@@ -123,6 +123,13 @@ class TablePreparer(Estimator, _PreparerParams):
         that.roles = self.roles
         return that
 
+    def _save_state(self, path: str, spark: SparkSession) -> dict:
+        return {"roles": self.roles.as_dict()}
+
+    @classmethod
+    def _load_state(cls, path: str, state: dict, spark: SparkSession) -> "TablePreparer":
+        return cls(roles=Roles.of_dict(state["roles"]))
+
     def _fit(self, dataset: DataFrame) -> "TablePreparerModel":
         return self._learn(dataset)[0]
 
@@ -218,7 +225,7 @@ def _impute(df: DataFrame, roles: Roles, got: Fitted) -> DataFrame:
     return df
 
 
-class TablePreparerModel(Model, _PreparerParams):
+class TablePreparerModel(Model, _PreparerParams, Stored):
     """Standardise labels, impute, cap, add features, encode, scale: one projection plus sized lookups.
 
     Output: identifiers and passthrough columns, the target if the input has one (raw and scaled), then
@@ -291,8 +298,16 @@ class TablePreparerModel(Model, _PreparerParams):
     # --- storage ----------------------------------------------------------------------------------------------------
 
     def save_to(self, path: str, spark: SparkSession) -> None:
-        """Write the fitted state: numbers as one JSON row, every lookup as a table."""
-        got, path = self.fitted, path.rstrip("/")
+        """Save, replacing what an earlier save left there."""
+        self.write().session(spark).overwrite().save(path)
+
+    @classmethod
+    def load_from(cls, path: str, spark: SparkSession) -> "TablePreparerModel":
+        return cls.read().session(spark).load(path)
+
+    def _save_state(self, path: str, spark: SparkSession) -> dict:
+        """Every lookup as a table, the rest as numbers."""
+        got = self.fitted
         tables = {
             **{f"mean_{i}": lookup for i, lookup in enumerate(got.means)},
             **{f"mode_{i}": lookup for i, lookup in enumerate(got.size_modes)},
@@ -300,21 +315,18 @@ class TablePreparerModel(Model, _PreparerParams):
             **({"encoding": got.encoding} if got.encoding else {}),
         }
         for name, lookup in tables.items():
-            lookup.table.write.mode("overwrite").parquet(f"{path}/{name}")
-        state = {
+            lookup.table.write.parquet(f"{path}/{name}")
+        return {
+            "roles": self.roles.as_dict(),
             "tables": {name: list(lookup.keys) for name, lookup in tables.items()},
-            "params": {p.name: self.getOrDefault(p) for p in self.params},
             "target_scale": asdict(got.target_scale),
             **{k: getattr(got, k) for k in (
                 "overall_means", "overall_size", "bounds", "edges", "overall_target", "labels", "scale", "features",
             )},
         }
-        spark.createDataFrame([(json.dumps(state),)], "state string").write.mode("overwrite").json(f"{path}/state")
 
     @classmethod
-    def load_from(cls, path: str, spark: SparkSession, roles: Roles = RETAIL) -> "TablePreparerModel":
-        path = path.rstrip("/")
-        state = json.loads(spark.read.schema("state string").json(f"{path}/state").first()["state"])
+    def _load_state(cls, path: str, state: dict, spark: SparkSession) -> "TablePreparerModel":
         found = {
             name: store_lookup(spark.read.parquet(f"{path}/{name}"), keys, stored=True)
             for name, keys in state["tables"].items()
@@ -323,8 +335,8 @@ class TablePreparerModel(Model, _PreparerParams):
         def numbered(prefix: str) -> Sequence[Lookup]:
             return [found[f"{prefix}_{i}"] for i in range(sum(n.startswith(f"{prefix}_") for n in found))]
 
-        model = cls(
-            roles,
+        return cls(
+            Roles.of_dict(state["roles"]),
             Fitted(
                 means=list(numbered("mean")),
                 overall_means=state["overall_means"],
@@ -341,7 +353,6 @@ class TablePreparerModel(Model, _PreparerParams):
                 features=state["features"],
             ),
         )
-        return model._set(**state["params"])
 
 
 def preparer(
