@@ -7,11 +7,15 @@ and one table of counts per (outlet, outlet type, location, size) serves the siz
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
+from pyspark.ml.feature import VectorSizeHint
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.config import Roles
 from shelfwise.functions.scalars import band, clip, code_of, ratio, standard_score
@@ -22,6 +26,7 @@ from shelfwise.operators.ranks import running_totals
 from shelfwise.session import materialize
 
 NO_LABEL = "nan"  # text that stands for a missing label in one-hot blocks
+MAX_POSITIONS = 2**31 - 1  # positions of a vector are 32-bit integers
 
 
 # --- labels ---------------------------------------------------------------------------------------------------------
@@ -40,19 +45,34 @@ def ordinal_encode(df: DataFrame, orders: Mapping[str, Sequence[str]]) -> DataFr
     return df.withColumns({c: code_of(F.col(c), order) for c, order in orders.items() if c in df.columns})
 
 
-def learn_labels(df: DataFrame, features: Sequence[str], *, max_labels: int = MAX_LABELS) -> dict[str, dict[str, int]]:
-    """Sorted labels of each feature with their row counts; NULL counts as the text ``nan``."""
+def count_labels(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Stored (feature, value, n): the rows of every label; NULL counts as the text ``nan``."""
     filled = df.select(*[F.coalesce(F.col(f).cast("string"), F.lit(NO_LABEL)).alias(f) for f in features])
-    counts = materialize(labels_long(filled, features).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
-    for row in counts.groupBy("feature").count().collect():  # one row per feature
-        if row["count"] > max_labels:
-            raise ValueError(f"{row['feature']} has {row['count']} labels, more than {max_labels} one-hot columns")
+    return materialize(labels_long(filled, features).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
+
+
+def wide_features(counts: DataFrame, max_labels: int = MAX_LABELS) -> dict[str, int]:
+    """Features with more than ``max_labels`` labels, and how many they have."""
+    sizes = counts.groupBy("feature").count().where(F.col("count") > max_labels)
+    return {row["feature"]: row["count"] for row in sizes.collect()}  # at most one row per feature
+
+
+def collect_labels(counts: DataFrame, features: Sequence[str]) -> dict[str, dict[str, int]]:
+    """Sorted labels of each feature with their row counts, for features that :func:`wide_features` does not name."""
     learned: dict[str, dict[str, int]] = {f: {} for f in features}
-    for row in counts.orderBy("feature", "value").collect():  # bounded by the check above
+    for row in counts.where(F.col("feature").isin(list(features))).orderBy("feature", "value").collect():
         learned[row["feature"]][row["value"]] = row["n"]
     return learned
 
 
+def learn_labels(df: DataFrame, features: Sequence[str], *, max_labels: int = MAX_LABELS) -> dict[str, dict[str, int]]:
+    """Sorted labels of each feature with their row counts; NULL counts as the text ``nan``."""
+    counts = count_labels(df, features)
+    for feature, n in wide_features(counts, max_labels).items():
+        raise ValueError(f"{feature} has {n} labels, more than {max_labels} one-hot columns")
+    return collect_labels(counts, features)
+
+
 def one_hot_encode(df: DataFrame, labels: Mapping[str, Sequence[str]]) -> DataFrame:
     """Replace each feature by 0/1 columns ``feature_label`` at the end; an unseen label gives zeros throughout."""
     blocks = [
@@ -86,6 +106,69 @@ def one_hot_sparse(df: DataFrame, features: Sequence[str], positions: DataFrame,
     return joined.withColumn(output, F.sort_array(F.array_compact(F.array(*found)))).select(*df.columns, output)
 
 
+@dataclass(frozen=True)
+class SparseBlock:
+    """A one-hot block over any number of labels: for each feature the lookup from label to position and value."""
+
+    features: tuple[str, ...]
+    lookups: tuple[Lookup, ...]
+    size: int
+
+
+def learn_sparse_block(counts: DataFrame, features: Sequence[str], *, scaled: bool) -> SparseBlock:
+    """Positions of all labels of ``features``, sorted by feature and label, from :func:`count_labels`.
+
+    A label of share p stands for 1, or with ``scaled`` for 1 / sqrt(p (1 - p)): the standard score without its centre. The
+    centre is a constant for each position, which splits of trees and linear models with a free intercept do not see, and
+    leaving it out keeps all other positions zero.
+    """
+    features = sorted(features)
+    own = counts.where(F.col("feature").isin(features)).withColumn("_one", F.lit(1).cast("long"))
+    placed = materialize(running_totals(own, [], [F.col("feature").asc(), F.col("value").asc()], "_one"))
+    rows, size = placed.where(F.col("feature") == features[0]).agg(F.sum("n")).first()[0], placed.count()
+    if size > MAX_POSITIONS:
+        raise ValueError(f"{size} labels, more than the {MAX_POSITIONS} positions of a vector")
+    share = F.col("n") / F.lit(rows)
+    spread = F.sqrt(share * (1 - share))
+    stands_for = F.when(spread > 0, 1 / spread).otherwise(1.0) if scaled else F.lit(1.0)
+    lookups = [
+        store_lookup(
+            placed.where(F.col("feature") == feature).select(
+                F.col("value").alias(f"_label{i}"),
+                F.col("start").cast("int").alias(f"_at{i}"),
+                stands_for.alias(f"_for{i}"),
+                F.col("n").alias("_n"),
+            ),
+            [f"_label{i}"],
+            stored=True,
+        )
+        for i, feature in enumerate(features)
+    ]
+    return SparseBlock(tuple(features), tuple(lookups), size)
+
+
+def one_hot_vector(df: DataFrame, block: SparseBlock, output: str) -> DataFrame:
+    """Replace the features of ``block`` by one sparse vector at the end; an unseen label has no entry in it."""
+    joined = df
+    for i, (feature, lookup) in enumerate(zip(block.features, block.lookups)):
+        label = F.coalesce(F.col(f"`{feature}`").cast("string"), F.lit(NO_LABEL))
+        joined = attach(joined.withColumn(f"_label{i}", label), lookup)
+    each = range(len(block.features))
+    parts = F.struct(
+        F.lit(0).alias("type"),  # a sparse vector
+        F.lit(block.size).alias("size"),
+        F.array_compact(F.array(*[F.col(f"_at{i}") for i in each])).alias("indices"),
+        F.array_compact(F.array(*[F.col(f"_for{i}") for i in each])).alias("values"),
+    )
+    # Spark has no function from positions to a sparse vector; its JSON reader makes one without leaving the JVM.
+    shape = T.StructType([T.StructField("v", VectorUDT())])
+    vector = F.from_json(F.to_json(F.struct(parts.alias("v"))), shape)["v"]
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in block.features]
+    return VectorSizeHint(inputCol=output, size=block.size, handleInvalid="optimistic").transform(
+        joined.select(*kept, vector.alias(output))
+    )
+
+
 # --- imputation -----------------------------------------------------------------------------------------------------
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.config import RETAIL, Roles
 from shelfwise.operators import prepare as steps
+from shelfwise.operators.categories import MAX_LABELS
 from shelfwise.operators.lookup import Lookup, store_lookup
 from shelfwise.operators.profile import numeric_columns
 from shelfwise.operators.storage import Stored
@@ -35,6 +36,13 @@ class _PreparerParams(Params):
         TypeConverters.toString,
     )
     scaledTargetCol = Param(Params._dummy(), "scaledTargetCol", "output name of the target", TypeConverters.toString)
+    maxLabels = Param(
+        Params._dummy(),
+        "maxLabels",
+        "labels up to which a feature becomes one column per label; beyond, it goes into the sparse vector oneHotCol",
+        TypeConverters.toInt,
+    )
+    oneHotCol = Param(Params._dummy(), "oneHotCol", "name of the sparse one-hot vector", TypeConverters.toString)
     stageInput = Param(
         Params._dummy(),
         "stageInput",
@@ -57,6 +65,7 @@ class Fitted:
     encoding: Lookup | None = None
     overall_target: float = 0.0
     labels: dict[str, list[str]] = field(default_factory=dict)
+    block: steps.SparseBlock | None = None
     scale: dict[str, tuple[float, float]] = field(default_factory=dict)
     target_scale: TargetScale = field(default_factory=lambda: TargetScale(active=False))
     features: list[str] = field(default_factory=list)
@@ -97,6 +106,8 @@ class TablePreparer(Estimator, _PreparerParams, Stored):
         logTarget: bool = False,
         statistics: str = "batch",
         scaledTargetCol: str = "scaled_target",
+        maxLabels: int = MAX_LABELS,
+        oneHotCol: str = "one_hot",
         stageInput: bool = True,
     ):
         super().__init__()
@@ -110,6 +121,8 @@ class TablePreparer(Estimator, _PreparerParams, Stored):
             logTarget=False,
             statistics="batch",
             scaledTargetCol="scaled_target",
+            maxLabels=MAX_LABELS,
+            oneHotCol="one_hot",
             stageInput=True,
         )
         self._set(**settings)
@@ -171,12 +184,21 @@ class TablePreparer(Estimator, _PreparerParams, Stored):
             steps.add_features(filled, roles, got.edges), got.encoding, got.overall_target, roles.outlet_encoding
         )
         nominal = [c for c in roles.nominal if c in featured.columns]
-        counted = steps.learn_labels(featured, nominal) if nominal else {}
+        counted: dict[str, dict[str, int]] = {}
+        if nominal:
+            counts = steps.count_labels(featured, nominal)
+            wide = steps.wide_features(counts, self.getOrDefault("maxLabels"))
+            counted = steps.collect_labels(counts, [c for c in nominal if c not in wide])
+            if wide:
+                if self.getOrDefault("oneHotCol") in featured.columns:
+                    raise ValueError(f"the input has a column {self.getOrDefault('oneHotCol')!r}; choose another oneHotCol")
+                got.block = steps.learn_sparse_block(counts, list(wide), scaled=self.getOrDefault("scaleFeatures"))
         got.labels = {c: list(labels) for c, labels in counted.items()}
 
         left_out = {*roles.ids, roles.target, *roles.passthrough}
         plain = [c for c in featured.columns if c not in left_out and c not in nominal]
-        got.features = plain + [f"{c}_{label}" for c in nominal for label in got.labels[c]]
+        got.features = plain + [f"{c}_{label}" for c in counted for label in counted[c]]
+        got.features += [self.getOrDefault("oneHotCol")] if got.block else []
         if self.getOrDefault("scaleFeatures"):
             skip = {*left_out, *roles.ordinal, *nominal}
             scaled = numeric_columns(featured, exclude=list(skip))
@@ -229,7 +251,8 @@ class TablePreparerModel(Model, _PreparerParams, Stored):
     """Standardise labels, impute, cap, add features, encode, scale: one projection plus sized lookups.
 
     Output: identifiers and passthrough columns, the target if the input has one (raw and scaled), then
-    ``feature_names`` in order. With ``statistics='batch'`` size modes and visibility medians are recomputed from the
+    ``feature_names`` in order. Nominal features of more than ``maxLabels`` labels share one sparse vector, ``oneHotCol``,
+    which is the last feature; :func:`~shelfwise.operators.regress.assemble` takes it like any other. With ``statistics='batch'`` size modes and visibility medians are recomputed from the
     frame at hand (aggregates only); with ``'fit'`` the learned ones are used and nothing is computed up front.
     """
 
@@ -243,6 +266,8 @@ class TablePreparerModel(Model, _PreparerParams, Stored):
             logTarget=False,
             statistics="batch",
             scaledTargetCol="scaled_target",
+            maxLabels=MAX_LABELS,
+            oneHotCol="one_hot",
             stageInput=True,
         )
         self.roles, self.fitted = roles, fitted or Fitted()
@@ -278,6 +303,8 @@ class TablePreparerModel(Model, _PreparerParams, Stored):
         x = steps.apply_target_encoding(x, got.encoding, got.overall_target, roles.outlet_encoding)
         x = steps.one_hot_encode(steps.ordinal_encode(x, roles.label_order), got.labels)
         x = steps.scale_features(x, got.scale)
+        if got.block:
+            x = steps.one_hot_vector(x, got.block, self.getOrDefault("oneHotCol"))
         carried = [c for c in dict.fromkeys([*roles.ids, *roles.passthrough, roles.target]) if c in x.columns]
         if roles.target in x.columns:
             x = x.withColumn(self.getOrDefault("scaledTargetCol"), got.target_scale.forward(F.col(roles.target)))
@@ -313,6 +340,7 @@ class TablePreparerModel(Model, _PreparerParams, Stored):
             **{f"mode_{i}": lookup for i, lookup in enumerate(got.size_modes)},
             **({"visibility": got.visibility} if got.visibility else {}),
             **({"encoding": got.encoding} if got.encoding else {}),
+            **({f"wide_{i}": lookup for i, lookup in enumerate(got.block.lookups)} if got.block else {}),
         }
         for name, lookup in tables.items():
             lookup.table.write.parquet(f"{path}/{name}")
@@ -320,6 +348,7 @@ class TablePreparerModel(Model, _PreparerParams, Stored):
             "roles": self.roles.as_dict(),
             "tables": {name: list(lookup.keys) for name, lookup in tables.items()},
             "target_scale": asdict(got.target_scale),
+            "block": [list(got.block.features), got.block.size] if got.block else None,
             **{k: getattr(got, k) for k in (
                 "overall_means", "overall_size", "bounds", "edges", "overall_target", "labels", "scale", "features",
             )},
@@ -335,6 +364,7 @@ class TablePreparerModel(Model, _PreparerParams, Stored):
         def numbered(prefix: str) -> Sequence[Lookup]:
             return [found[f"{prefix}_{i}"] for i in range(sum(n.startswith(f"{prefix}_") for n in found))]
 
+        wide = state.get("block")  # models saved before there were sparse blocks have none
         return cls(
             Roles.of_dict(state["roles"]),
             Fitted(
@@ -348,6 +378,7 @@ class TablePreparerModel(Model, _PreparerParams, Stored):
                 encoding=found.get("encoding"),
                 overall_target=state["overall_target"],
                 labels=state["labels"],
+                block=steps.SparseBlock(tuple(wide[0]), tuple(numbered("wide")), wide[1]) if wide else None,
                 scale={c: tuple(s) for c, s in state["scale"].items()},
                 target_scale=TargetScale(**state["target_scale"]),
                 features=state["features"],
