@@ -20,6 +20,11 @@ from shelfwise.session import shared_folder
 
 #: Documents handled together inside a task; bounds what a task holds besides the Arrow batch it was given.
 CHUNK = 512
+#: Bytes of files that a task reads back, about; a stretch of a file goes to one task as a whole.
+READ_BYTES = 32 << 20
+STRETCH = 8 << 20
+#: More tasks than this are not made: beyond, a task reads more, still batch by batch.
+MOST_READERS = 20_000
 
 
 def importable(spark: SparkSession) -> None:
@@ -88,6 +93,18 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [x or "" for x in batch.column(name).to_pylist()]
 
 
+def dealt_by_bytes(places: DataFrame, file: str, unit: int = 1) -> DataFrame:
+    """Stored rows (``file``, offset, length; in units of ``unit`` bytes) in as many tasks as the bytes they name need.
+
+    The rows themselves are small, so a number of tasks chosen by their own size would leave all reading to a few. Each
+    task has its places in ascending order.
+    """
+    named = places.agg(F.sum("length")).first()[0] or 0
+    tasks = min(max(1, -(-named * unit // READ_BYTES)), MOST_READERS)
+    stretch = F.expr(f"offset div {max(1, STRETCH // unit)}")
+    return places.repartition(tasks, file, stretch).sortWithinPartitions(file, "offset")
+
+
 class RangeReader:
     """Reads byte ranges of files in ``folder``, given in ascending order, through few large reads.
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import RangeReader, scratch, store_of
+from shelfwise.llm.common import RangeReader, dealt_by_bytes, scratch, store_of
 from shelfwise.llm.tokens import blocks, encoder, tokenizer_path
 from shelfwise.session import materialize
 
@@ -287,6 +287,6 @@ def read_back(store: TokenStore, located: DataFrame, *, keep_ids: bool = False)
             columns = [batch.column("doc_id"), start, pa.array(counts, pa.int64()), pa.array(sums, pa.int64())]
             yield pa.RecordBatch.from_arrays([*columns, *([pa.array(kept, pa.binary())] if keep_ids else [])], schema.fieldNames())
 
-    placed = located.where("part is not null").join(store.shards, "part")
-    ordered = placed.repartitionByRange("part", "offset").sortWithinPartitions("part", "offset")
+    placed = materialize(located.where("part is not null").join(store.shards, "part"))
+    ordered = dealt_by_bytes(placed, "shard", unit=4)
     return ordered.select("doc_id", "shard", "first", "offset", "length").mapInArrow(read, schema)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import RangeReader, scratch, store_of
+from shelfwise.llm.common import RangeReader, dealt_by_bytes, scratch, store_of
 from shelfwise.session import materialize
 
 #: A file is closed once it holds this many bytes, and the task goes on with another.
@@ -181,8 +181,7 @@ def read_warc(folder: str, index: DataFrame, *, with_payload: bool = False) -> D
                 columns = [pa.array(c, arrow.get(n, pa.string())) for n, c in zip(names, zip(*rows), strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    placed = index.select("file", "offset", "length")
-    ordered = placed.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    ordered = dealt_by_bytes(index.select("file", "offset", "length"), "file")
     found = ordered.mapInArrow(read, ", ".join(f"{n} {types.get(n, 'string')}" for n in names))
     ids = [F.col("page").cast(kind).alias("page_id"), F.col("refers").cast(kind).alias("refers_to")]
     return found.select(ids[0], *names[1:4], ids[1], *names[5:])

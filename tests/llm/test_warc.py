@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_fixtures import FOLDER, read_table
+from shelfwise.llm import common
 from shelfwise.llm.queries import LLM_CATALOG
 from shelfwise.llm.warc import parse, read_warc, record, write_warc
 
@@ -68,3 +69,18 @@ def test_query(spark):
     rows = list(read_table(FOLDER, "pages")[["page_id", "url", "html"]].itertuples(index=False, name=None))
     names = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     assert sorted((tuple(r[n] for n in names) for r in got), key=repr) == expected(rows)
+
+
+def test_reading_is_dealt_by_the_bytes_named(spark, monkeypatch):
+    rows = [(f"f{i % 3}", 1000 * (i // 3), 1000) for i in range(3000)]
+    places = spark.createDataFrame(rows, "file string, offset long, length long")
+    monkeypatch.setattr(common, "READ_BYTES", 100_000)
+    monkeypatch.setattr(common, "STRETCH", 10_000)
+    task = F.spark_partition_id().alias("task")
+    dealt = common.dealt_by_bytes(places, "file").select("*", task).collect()
+    assert len(dealt) == 3000 and 20 <= len({r["task"] for r in dealt}) <= 30
+    for number in {r["task"] for r in dealt}:
+        own = [(r["file"], r["offset"]) for r in dealt if r["task"] == number]
+        assert own == sorted(own)
+    assert len({(r["file"], r["offset"] // 10_000, r["task"]) for r in dealt}) == 300
+    assert common.dealt_by_bytes(places.limit(0), "file").count() == 0
