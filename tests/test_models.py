@@ -210,3 +210,23 @@ def test_cv_results_equal_separate_fits(spark, folder):
     ready = regress.assemble(prepared.where("NOT is_test"), fitted.feature_names)
     _, scores = regress.tune(regress.ridge(SCALED), {"alpha": [1.0]}, ready)
     assert got["alpha=1.0"] == pytest.approx(scores[0][1], rel=1e-9)
+
+
+def test_tree_members_train_on_evenly_dealt_rows(spark, monkeypatch):
+    _, _, df = signal(spark, 960)
+    uneven = df.repartition(3).withColumns({"is_test": F.lit(False), "other": F.lit("x")})
+    seen = []
+    monkeypatch.setattr(regress, "refit", lambda member, point, rows: seen.append(rows) or regress.ridge("label").fit(df))
+    members = regress.default_members("label")
+    for least, parts in ((961, [3, 3, 3]), (960, [8, 8, 3])):
+        monkeypatch.setattr(regress, "DEALT_FROM", least)
+        seen.clear()
+        regress.WeightedEnsemble(members).fit(uneven)
+        assert [rows.rdd.getNumPartitions() for rows in seen] == parts
+    sizes = seen[0].groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert len(sizes) == 8 and sizes.max() - sizes.min() <= 8
+    assert seen[0] is seen[1] and set(seen[0].columns) == {"features", "label"}
+    pairs = [rows.select("label", "features") for rows in (seen[0], uneven)]
+    assert pairs[0].exceptAll(pairs[1]).isEmpty() and pairs[0].count() == 960
+    monkeypatch.setattr(regress, "DEALT_ROWS", 70)
+    assert len(regress.dealt(df).inputFiles()) == 16
