@@ -53,10 +53,15 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int, *, log: bool = F
     )
 
 
-def box_stats(df: DataFrame, target: str, by: Sequence[str] = (), *, width: float = 1.5) -> DataFrame:
-    """Quartiles, whiskers (the most extreme values within ``width`` IQR of the box) and fliers per group."""
-    found = exact_boxes(df, list(by), target, width=width).where("n > 0")
-    return found.select(
+def box_stats(
+    df: DataFrame, target: str, by: Sequence[str] = (), *, width: float = 1.5, boxes: DataFrame | None = None
+) -> DataFrame:
+    """Quartiles, whiskers (the most extreme values within ``width`` IQR of the box) and fliers per group.
+
+    ``boxes`` are the :func:`exact_boxes` of the target in these groups, if known.
+    """
+    found = exact_boxes(df, list(by), target, width=width) if boxes is None else boxes
+    return found.where("n > 0").select(
         *by,
         "n",
         F.least("low", "q1").alias("whisker_low"),

@@ -12,6 +12,7 @@ from shelfwise.operators import categories as cat
 from shelfwise.operators import plots
 from shelfwise.operators import profile as prof
 from shelfwise.operators.prepare import standardize_labels
+from shelfwise.operators.quantiles import exact_boxes
 from shelfwise.session import materialize
 
 
@@ -32,15 +33,18 @@ def profile(
     if stage:
         df = materialize(df)
     target, features = roles.target, roles.category_features
+    # Passes that several sections read: moments and quartiles of all numbers, and the target's box.
+    numbers = prof.describe(df, roles.numeric)
+    boxes = materialize(exact_boxes(df, [], target))
     sections = {
         "dataset_shape": prof.dataset_shape(df),
         "column_types": prof.column_types(df),
-        "describe_numeric": prof.describe(df, roles.numeric),
+        "describe_numeric": numbers,
         "missing_values": prof.missing_values(df),
-        "describe_target": prof.describe(df, [target]),
-        "iqr_outliers": prof.iqr_outliers(df, target),
+        "describe_target": prof.describe(df, [target], found=numbers),
+        "iqr_outliers": prof.iqr_outliers(df, target, boxes=boxes),
         "histogram_target": plots.histogram(df, [target], 50),
-        "box_stats": plots.box_stats(df, target),
+        "box_stats": plots.box_stats(df, target, boxes=boxes),
         "histogram_log_target": plots.histogram(df, [target], 50, log=True),
         "distribution_shape": prof.distribution_shape(df, target),
         "correlation_matrix": prof.correlation_matrix(df, roles.numeric),

@@ -2,6 +2,7 @@
 
 import math
 import statistics
+from unittest.mock import MagicMock
 
 import numpy as np
 import pandas as pd
@@ -275,3 +276,38 @@ def test_duplicates_are_compared_whole_only_where_a_hash_repeats(spark, monkeypa
     assert prof.duplicate_rows(spark.createDataFrame([("a", None), (None, "a")], "a string, b string")).first()[0] == 0
     monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)  # repeats too many to broadcast, one of them hot
     assert prof.duplicate_rows(df).first()[0] == expected
+
+
+def test_profile_shares_passes(spark, monkeypatch):
+    """Numbers are described once and the target is boxed once; sections equal those worked out by themselves."""
+    from shelfwise.config import RETAIL as R
+    from shelfwise.plans import profiling
+    from shelfwise.sources.tables import sales_schema
+
+    rng = np.random.default_rng(5)
+    rows = [
+        (f"FD{i % 7}", None if i % 6 == 0 else float(i % 9), "LF" if i % 4 == 0 else None if i % 11 == 0 else "Regular", 0.01 * (i % 5),
+         f"type {i % 3}", 100.0 + i % 13, f"OUT{i % 5}", 1990 + i % 4, None if i % 3 == 0 else "Small", "Tier 1", f"T{i % 2}",
+         None if i % 17 == 0 else float(np.round(rng.lognormal(5, 1), 2)))
+        for i in range(300)
+    ]
+    df = spark.createDataFrame(rows, sales_schema()).replace({"LF": "Low Fat"}, subset=[R.fat_content])
+    calls, other = [], MagicMock()  # sections that share nothing are left out
+    monkeypatch.setattr(profiling, "cat", other)
+    monkeypatch.setattr(plots, "histogram", other)
+    monkeypatch.setattr(plots, "box_stats_by_category", other)
+    monkeypatch.setattr(prof, "duplicate_rows", other)
+    for module, name in ((profiling, "exact_boxes"), (prof, "exact_quantiles"), (prof, "exact_boxes"), (plots, "exact_boxes")):
+        own = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, _own=own, _name=name, **k: calls.append((_name, tuple(a[1]))) or _own(*a, **k))
+    sections = profiling.profile(df, stage=False)
+    assert sorted(calls) == [("exact_boxes", ()), ("exact_quantiles", ("column",))]
+    monkeypatch.undo()
+    alone = {
+        "describe_target": prof.describe(df, [R.target]),
+        "iqr_outliers": prof.iqr_outliers(df, R.target),
+        "box_stats": plots.box_stats(df, R.target),
+    }
+    for name, want in alone.items():
+        got, want = (x.toPandas().sort_values(x.columns).reset_index(drop=True) for x in (sections[name], want))
+        pd.testing.assert_frame_equal(got, want, rtol=1e-12)
