@@ -58,20 +58,25 @@ def store_lookup(table: DataFrame, keys: Sequence[str], *, stored: bool = False)
 
 
 def attach(
-    df: DataFrame, lookup: Lookup, *, needed: Column | None = None, broadcast_bytes: int | None = None
+    df: DataFrame, lookup: Lookup, *, needed: Column | None = None, broadcast_bytes: int | None = None, stored: bool = False
 ) -> DataFrame:
     """Left-join the values of ``lookup``; rows without a match get NULL.
 
     Small table: broadcast, no shuffle. Large table: the keys that are hot in ``df`` are counted, the few there can be are
     broadcast with what the lookup has for them, and their rows are spread over the shuffle instead of meeting in the
     partition of their key; all other rows join by key. With ``needed``, rows that do not satisfy it are spread as well,
-    and the values of all such rows are NULL if the table is large.
+    and the values of all such rows are NULL if the table is large. If ``df`` is ``stored``, so that reading it twice costs little,
+    such rows stay out of the shuffle.
     """
     keys, values = list(lookup.keys), lookup.values
     limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     if lookup.size_bytes <= limit:
         return df.join(F.broadcast(lookup.table.select(*keys, *values)), keys, "left")
     asked = F.lit(True) if needed is None else F.coalesce(needed, F.lit(False))
+    if stored and needed is not None:
+        types = {f.name: f.dataType for f in lookup.table.schema}
+        rest = df.where(~asked).withColumns({v: F.lit(None).cast(types[v]) for v in values})
+        return attach(df.where(asked), lookup, broadcast_bytes=limit).unionByName(rest)
     unkeyed = reduce(or_, [F.col(k).isNull() for k in keys])
     counts = materialize(df.where(asked & ~unkeyed).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")))
     total = counts.agg(F.sum("_rows")).first()[0] or 0

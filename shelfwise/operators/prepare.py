@@ -211,12 +211,14 @@ def fill_means(
     levels: Mapping[str, Sequence[Sequence[str]]],
     lookups: Sequence[Lookup],
     overall: Mapping[str, float | None],
+    *,
+    stored: bool = False,
 ) -> DataFrame:
-    """Fill NULLs from the most specific level that has a mean, then from the overall mean."""
+    """Fill NULLs from the most specific level that has a mean, then from the overall mean. ``stored``: see :func:`attach`."""
     joined = df
     for lookup in lookups:  # a table of item means can outgrow a broadcast; only rows with a gap go to meet it
         gaps = [F.col(c).isNull() for c, lists in levels.items() if list(lookup.keys) in [list(k) for k in lists]]
-        joined = attach(joined, lookup, needed=reduce(or_, gaps))
+        joined = attach(joined, lookup, needed=reduce(or_, gaps), stored=stored)
     filled = {
         c: F.coalesce(
             F.col(c).cast("double"), *[F.col(f"_mean_{'_'.join(keys)}_{c}") for keys in lists], F.lit(overall[c]).cast("double")

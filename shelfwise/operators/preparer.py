@@ -177,7 +177,7 @@ class TablePreparer(Estimator, _PreparerParams, Stored):
         got.encoding, got.overall_target = steps.learn_target_encoding(cube, roles.outlet, roles.smoothing)
         if roles.visibility in has:
             got.visibility = steps.learn_positive_medians(base, roles.visibility, roles.item_type)
-        filled = materialize(_impute(base, roles, got))  # lookups are joined once, for the passes below and transform
+        filled = materialize(_impute(base, roles, got, stored=True))  # lookups are joined once, for the passes below and transform
 
         moments = self._learn_bounds(filled, got)
         featured = steps.apply_target_encoding(
@@ -236,10 +236,10 @@ class TablePreparer(Estimator, _PreparerParams, Stored):
         return moments
 
 
-def _impute(df: DataFrame, roles: Roles, got: Fitted) -> DataFrame:
+def _impute(df: DataFrame, roles: Roles, got: Fitted, *, stored: bool = False) -> DataFrame:
     levels = mean_levels(df, roles)
     if levels and got.means:
-        df = steps.fill_means(df, levels, got.means, got.overall_means)
+        df = steps.fill_means(df, levels, got.means, got.overall_means, stored=stored)
     if roles.outlet_size in df.columns:
         df = steps.fill_modes(df, roles.outlet_size, got.size_modes, got.overall_size)
     if roles.visibility in df.columns and got.visibility is not None:

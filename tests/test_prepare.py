@@ -14,7 +14,7 @@ from shelfwise.operators import prepare as prep
 from shelfwise.operators.preparer import TablePreparer, TablePreparerModel, preparer
 from shelfwise.operators.regress import assemble, check_complete
 from shelfwise.operators.target import TargetScale, learn_target_scale, roundtrip_check
-from shelfwise.session import scratch_scope
+from shelfwise.session import materialize, scratch_scope
 from shelfwise.sources.sales import SALES_KEYS, read_sales
 from shelfwise.sources.tables import clean_missing
 
@@ -306,3 +306,19 @@ def test_new_rows_without_target(model, sales):
 def test_sales_keys_are_optional(spark, folder):
     assert set(read_sales(spark, folder, keys=True).columns) - set(read_sales(spark, folder).columns) == set(SALES_KEYS)
     assert math.isclose(read_sales(spark, folder).count(), 6000, rel_tol=0.05)
+
+
+def test_rows_that_need_nothing_stay_out_of_the_shuffle(spark):
+    rows = [(i, f"k{i % 50}" if i % 11 else None, None if i % 4 == 0 else float(i)) for i in range(2000)]
+    df = materialize(spark.createDataFrame(rows, "id int, k string, x double").repartition(4))
+    lookup = lk.store_lookup(spark.range(45).selectExpr("concat('k', id) AS k", "id * 1.5D AS v"), ["k"])
+    joined = lk.attach(df, lookup, needed=F.col("x").isNull(), broadcast_bytes=0, stored=True)
+    got = {r["id"]: r for r in joined.collect()}
+    assert joined.count() == len(got) == 2000
+    for i, k, x in rows:
+        wanted = int(k[1:]) * 1.5 if x is None and k is not None and int(k[1:]) < 45 else None
+        assert (got[i]["k"], got[i]["x"], got[i]["v"]) == (k, x, wanted)
+    # One side of a union joins, and reads no row that has a value.
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    joins, rest = plan.split("Union", 1)[1].rsplit("Project", 1)
+    assert "Join" in joins and "isnull(x" in joins and "Join" not in rest and "isnotnull(x" in rest
