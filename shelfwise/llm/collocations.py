@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import io
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +20,14 @@ LEAST, LONGEST, FIRST = 10, 3, 2000
 INSIDE = 50
 #: Text that a task counts at a time, and text for each hash partition of phrases.
 CHUNK_BYTES, PART_BYTES = 8 << 20, 12 << 20
+#: Chunks of text that a task holds back at most, so that each language fills its own.
+HELD_CHUNKS = 4
 #: Hash partitions dealt in one shuffle; more than these are dealt in two.
-FAN = 512
+FAN = 2048
+#: Tasks for the parts of all languages, where the parts are fewer.
+SPREAD = 512
+#: Rows of counts that are read from packed blocks together, about.
+READ_ROWS = 65_536
 
 # Characters that end a piece become the separator, tabs become spaces, A-Z become a-z.
 _ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -95,24 +101,68 @@ def counted(texts: list[str], longest: int) -> tuple[int, list[tuple[pa.Array, n
     return int(inside.sum()), out
 
 
+_HEAD, _CODEC = struct.Struct("<qqq"), pa.Codec("zstd")  # rows, bytes of their phrases, sum of their counts
+
+
+def _block(n: np.ndarray, ends: np.ndarray, values: memoryview) -> bytes:
+    """Counts and phrases as bytes: with hundreds of parts a block has few rows, and an Arrow stream would cost more than they."""
+    lengths = np.diff(ends).astype(np.int32)
+    raw = b"".join((n.tobytes(), lengths.tobytes(), values[ends[0] : ends[-1]]))
+    return _HEAD.pack(len(n), int(ends[-1] - ends[0]), int(n.sum())) + _CODEC.compress(raw, asbytes=True)
+
+
+def _buffers(table: pa.Table) -> tuple[np.ndarray, np.ndarray, memoryview]:
+    """Counts, ends of the phrases and the bytes of a table without nulls."""
+    phrases = table.column("phrase").cast(pa.large_string()).combine_chunks()
+    phrases = phrases.combine_chunks() if isinstance(phrases, pa.ChunkedArray) else phrases
+    _, ends, values = phrases.buffers()
+    ends = np.frombuffer(ends, np.int64, len(phrases) + 1, phrases.offset * 8) if len(phrases) else np.zeros(1, np.int64)
+    return table.column("n").to_numpy(), ends, memoryview(values or b"")
+
+
 def packed(table: pa.Table) -> bytes:
-    sink = io.BytesIO()
-    with pa.ipc.new_stream(sink, COUNTS, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-        writer.write_table(table)
-    return sink.getvalue()
+    return _block(*_buffers(table))
 
 
-def unpacked(raw: bytes) -> pa.Table:
-    return pa.ipc.open_stream(raw).read_all()
+def mass_of(block: bytes) -> int:
+    return _HEAD.unpack_from(block)[2]
+
+
+def unpacked(*blocks: bytes) -> pa.Table:
+    """The rows of all blocks as one table."""
+    n, lengths, values = [], [], []
+    for block in blocks:
+        rows, size, _ = _HEAD.unpack_from(block)
+        raw = _CODEC.decompress(memoryview(block)[_HEAD.size :], 12 * rows + size, asbytes=True)
+        n.append(np.frombuffer(raw, np.int64, rows))
+        lengths.append(np.frombuffer(raw, np.int32, rows, 8 * rows))
+        values.append(memoryview(raw)[12 * rows :])
+    ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *lengths]), dtype=np.int64)
+    phrases = pa.Array.from_buffers(pa.large_string(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(b"".join(values))])
+    counts = pa.array(np.concatenate([np.zeros(0, np.int64), *n]))
+    return pa.table([phrases.cast(pa.string()), counts], schema=COUNTS)
+
+
+def tables_of(blocks: Sequence[bytes], rows: int) -> Iterator[pa.Table]:
+    """The rows of all blocks, those of neighbours together until they are about ``rows``."""
+    some, held = [], 0
+    for block in blocks:
+        some.append(block)
+        held += _HEAD.unpack_from(block)[0]
+        if held >= rows:
+            yield unpacked(*some)
+            some, held = [], 0
+    if some:
+        yield unpacked(*some)
 
 
 def _dealt(phrases: pa.ChunkedArray, n: np.ndarray, part: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """A packed table of counts for every part that has some."""
+    """A packed block of counts for every part that has some."""
     order = np.argsort(part, kind="stable")
-    table = pa.table([phrases.take(pa.array(order)).cast(pa.string()), pa.array(n[order])], schema=COUNTS)
+    n, ends, values = _buffers(pa.table([phrases.take(pa.array(order)), pa.array(n[order])], names=["phrase", "n"]))
     parts, begin = np.unique(part[order], return_index=True)
     for p, a, b in zip(parts.tolist(), begin.tolist(), [*begin[1:].tolist(), len(order)]):
-        yield p, packed(table.slice(a, b - a).combine_chunks())
+        yield p, _block(n[a:b], ends[a : b + 1], values)
 
 
 def summed(table: pa.Table) -> pa.Table:
@@ -146,15 +196,20 @@ class Summary:
         return merged
 
 
-def frequent_of(blocks: list[bytes], least: int) -> pa.Table:
-    """The phrases of a hash partition that come ``least`` times or more, with exact counts."""
-    mass = sum(pc.sum(unpacked(b).column("n")).as_py() or 0 for b in blocks)
-    summary = Summary(mass // least + 1)
-    for block in blocks:
-        summary.merge(unpacked(block))
+def frequent_of(blocks: Sequence[bytes], least: int) -> pa.Table:
+    """The phrases of a hash partition that come ``least`` times or more, with exact counts.
+
+    Blocks are small where parts are many. They are read many at a time, so that survivors are looked up as often as
+    their number asks for and not once a block.
+    """
+    summary = Summary(sum(map(mass_of, blocks)) // least + 1)
+    for table in tables_of(blocks, READ_ROWS):
+        summary.merge(table)
     survivors = summary.settle().column("phrase").combine_chunks()
-    parts = [t.filter(pc.is_in(t.column("phrase"), value_set=survivors)) for t in map(unpacked, blocks)]
-    exact = summed(pa.concat_tables([COUNTS.empty_table(), *parts]))
+    parts = [COUNTS.empty_table()]
+    for table in tables_of(blocks, max(READ_ROWS, len(survivors))):
+        parts.append(summed(table.filter(pc.is_in(table.column("phrase"), value_set=survivors))))
+    exact = summed(pa.concat_tables(parts))
     return exact.filter(pc.greater_equal(exact.column("n"), least))
 
 
@@ -173,28 +228,32 @@ def frequent_phrases(docs: DataFrame, lang: Column, least: int = LEAST, longest:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list[str]] = {}
-        size = 0
+        sizes: dict[str, int] = {}
+        held = 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            for name, texts in waiting.items():
-                words, found = counted(texts, longest)
+        def flush(names: list[str]) -> Iterator[pa.RecordBatch]:
+            for name in names:
+                words, found = counted(waiting.pop(name), longest)
                 if not words:
                     continue
                 phrases = pa.chunked_array([p for p, _, _ in found])
                 part = (np.concatenate([m for _, m, _ in found]) % np.uint64(total) % np.uint64(first)).astype(np.int64)
                 rows = [(name, p, raw, 0) for p, raw in _dealt(phrases, np.concatenate([n for _, _, n in found]), part)]
                 yield batch_of([*rows[:-1], (*rows[-1][:3], words)])
-            waiting.clear()
 
         for batch in batches:
             for name, content in zip(batch.column("lang").to_pylist(), texts_of(batch)):
                 if content:
                     waiting.setdefault(name, []).append(content)
-                    size += len(content)
-                if size >= chunk_bytes:
-                    yield from flush()
-                    size = 0
-        yield from flush()
+                    sizes[name] = sizes.get(name, 0) + len(content)
+                    held += len(content)
+                    if sizes[name] >= chunk_bytes:
+                        held -= sizes.pop(name)
+                        yield from flush([name])
+                    elif held >= HELD_CHUNKS * chunk_bytes:
+                        sizes, held = {}, 0
+                        yield from flush([*waiting])
+        yield from flush([*waiting])
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         types = (pa.string(), pa.int64(), pa.binary(), pa.int64())
@@ -221,8 +280,9 @@ def frequent_phrases(docs: DataFrame, lang: Column, least: int = LEAST, longest:
     if total > first:
         # A coarse part holds every first-th part; its blocks are merged by languages in many tasks before being split.
         blocks = blocks.repartition("lang", "part").mapInArrow(_joined(batch_of), shape).mapInArrow(split, shape)
-    # As many tasks as parts, not as the session's setting says: a task's share must not grow with the input.
-    spread = blocks.repartition(min(4 * total, 20_000), "lang", "part")
+    # As many tasks as parts, not as the session's setting says: a task's share must not grow with the input. Few parts get
+    # more tasks than there are, as those of different languages then seldom meet.
+    spread = blocks.repartition(min(max(total, min(4 * total, SPREAD)), 20_000), "lang", "part")
     found = materialize(spread.groupBy("lang", "part").applyInArrow(gather, "lang string, phrase string, f long"))
     words = found.where("phrase IS NULL").groupBy("lang").agg(F.lit(None).cast("string").alias("phrase"), F.sum("f").alias("f"))
     return found.where("phrase IS NOT NULL").union(words)

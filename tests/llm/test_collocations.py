@@ -2,11 +2,12 @@ import re
 from collections import Counter, defaultdict
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from llm_fixtures import FOLDER, read_table
 from pyspark.sql import functions as F
 
-from shelfwise.llm.collocations import COUNTS, Summary, collocations, counted, frequent_phrases, marks_of_phrases
+from shelfwise.llm.collocations import COUNTS, Summary, collocations, counted, frequent_of, frequent_phrases, marks_of_phrases, packed, unpacked
 from shelfwise.llm.queries import LLM_CATALOG
 
 
@@ -99,6 +100,28 @@ def test_every_frequent_phrase_survives_a_summary():
     assert {"often", "more"} <= kept
 
 
+def test_many_small_blocks_are_looked_up_together(monkeypatch):
+    rows = [[(f"é{i % 40} w{j}", 1 + i % 3) for j in range(3)] for i in range(900)]
+    blocks = [packed(pa.table([[p for p, _ in part], [n for _, n in part]], schema=COUNTS)) for part in rows]
+    assert unpacked(*blocks[:2]).to_pylist() == [{"phrase": p, "n": n} for part in rows[:2] for p, n in part]
+    assert unpacked().num_rows == 0 and unpacked(packed(COUNTS.empty_table())).num_rows == 0
+    asked, is_in = [], pc.is_in
+    monkeypatch.setattr(pc, "is_in", lambda *a, **k: asked.append(1) or is_in(*a, **k))
+    true = Counter()
+    for part in rows:
+        true.update(dict(part))
+    found = frequent_of(blocks, 44)
+    assert len(asked) < 5
+    assert {r["phrase"]: r["n"] for r in found.to_pylist()} == {p: n for p, n in true.items() if n >= 44} != dict(true)
+
+
+def test_languages_fill_chunks_of_their_own(spark):
+    rows = [(f"one two three {i % 7}. " * 5, f"l{i % 5}") for i in range(200)]
+    df = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
+    for sizes in ({"chunk_bytes": 400}, {"chunk_bytes": 2000, "part_bytes": 200, "fan": 3}):
+        assert rows_of(collocations(df, **sizes)) == plainly(rows)
+
+
 def test_hashes_agree():
     words, found = counted(["the same words, again the same", "Ä ö; the same"], 3)
     assert words == 10
