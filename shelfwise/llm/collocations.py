@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import texts_of
+from shelfwise.llm.common import giving_back, texts_of
 from shelfwise.session import materialize
 
 LEAST, LONGEST, FIRST = 10, 3, 2000
@@ -21,7 +21,7 @@ INSIDE = 50
 #: Text that a task counts at a time, and text for each hash partition of phrases.
 CHUNK_BYTES, PART_BYTES = 8 << 20, 12 << 20
 #: Chunks of text that a task holds back at most, so that each language fills its own.
-HELD_CHUNKS = 4
+HELD_CHUNKS = 2
 #: Hash partitions dealt in one shuffle; more than these are dealt in two.
 FAN = 2048
 #: Tasks for the parts of all languages, where the parts are fewer.
@@ -276,7 +276,7 @@ def frequent_phrases(docs: DataFrame, lang: Column, least: int = LEAST, longest:
         return pa.table([pa.array([group.column("lang")[0].as_py()] * len(n), pa.string()), phrase, n], names=["lang", "phrase", "f"])
 
     shape = "lang string, part long, counts binary, words long"
-    blocks = source.mapInArrow(encode, shape)
+    blocks = source.mapInArrow(giving_back(encode), shape)
     if total > first:
         # A coarse part holds every first-th part; its blocks are merged by languages in many tasks before being split.
         blocks = blocks.repartition("lang", "part").mapInArrow(_joined(batch_of), shape).mapInArrow(split, shape)
